@@ -11,7 +11,6 @@ group is ever gathered. The SQL next to it says the same for the oracle.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
 from ..operators.logs import flatten_logs
 from ..operators.metrics import flatten_metrics
@@ -44,11 +43,6 @@ def _conform(df: DataFrame, signal: str) -> DataFrame:
     return conform(df, struct(signal))
 
 
-def _struct(kind: StructType, fields: dict[str, Column]) -> Column:
-    """A struct of exactly this type; fields without a value are NULL."""
-    return F.struct(*[fields.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in kind.fields])
-
-
 def spans_of(events: DataFrame) -> DataFrame:
     """Raw spans of an events frame, batch or stream."""
     e = F.col
@@ -151,19 +145,17 @@ def logs_of(events: DataFrame) -> DataFrame:
 
 
 def metrics_of(lineitem: DataFrame) -> DataFrame:
-    """Raw metric points of a lineitem frame, batch or stream."""
+    """Raw metric points of a lineitem frame, batch or stream, with the fields the operators read."""
     c = F.col
     micros = F.unix_micros(F.lit("2024-01-01").cast("timestamp")) + (c("l_orderkey") % 172_800) * 15_000_000
     kind = F.get(F.array(*[F.lit(t) for t in METRIC_TYPES]), (c("l_partkey") % 5).cast("int"))
     quantity = c("l_quantity").cast("bigint")
     half = F.call_function("div", quantity, F.lit(2))
     quarter = F.call_function("div", quantity, F.lit(4))
-    attributes = F.create_map(
-        F.lit("line"), c("l_linenumber").cast("string"),
-        F.lit("part"), c("l_partkey").cast("string"),
-        F.lit("order"), c("l_orderkey").cast("string"),
-        F.lit("delay_s"), F.round(c("l_tax") * 100 * 60).cast("int").cast("string"),
-    )
+    attributes = _attrs({
+        "line": F.concat_ws("/", c("l_orderkey"), c("l_partkey"), c("l_linenumber")),
+        "delay_s": F.round(c("l_tax") * 100 * 60).cast("int").cast("string"),
+    })
     common = {"time_unix_nano": micros * 1000, "attributes": attributes}
     price = c("l_extendedprice")
     buckets = F.when(c("l_tax") > 0, F.array(half, quarter, quantity - half - quarter))
@@ -171,10 +163,8 @@ def metrics_of(lineitem: DataFrame) -> DataFrame:
         F.array(F.lit(10.0), F.lit(50.0))
     )
 
-    types = struct("metrics")
-
     def only(name: str, **fields: Column) -> Column:
-        return F.when(kind == name, _struct(types[name].dataType, fields)).alias(name)
+        return F.when(kind == name, F.struct(*[v.alias(n) for n, v in fields.items()])).alias(name)
 
     raw = lineitem.select(
         F.concat(F.lit("m."), F.lower("l_returnflag"), F.lower("l_linestatus")).alias("name"),
@@ -213,7 +203,7 @@ def metrics_of(lineitem: DataFrame) -> DataFrame:
             F.lit(0).alias("dropped_attributes_count"),
         ).alias("resource"),
     )
-    return _conform(raw, "metrics")
+    return raw
 
 
 def raw_spans(spark: SparkSession, d: str) -> DataFrame:

@@ -20,8 +20,8 @@ VOLATILE = {
 }
 
 
-def comparable(df: DataFrame) -> DataFrame:
-    """Types both engines share: bigint, double rounded to 6 digits, zone-less time, no run times."""
+def comparable(df: DataFrame, digits: dict[str, int]) -> DataFrame:
+    """Types both engines share: bigint, rounded double, zone-less time, no run times."""
     columns = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
@@ -32,7 +32,7 @@ def comparable(df: DataFrame) -> DataFrame:
         elif isinstance(f.dataType, (ByteType, ShortType, IntegerType)):
             c = c.cast("bigint")
         elif isinstance(f.dataType, (DoubleType, FloatType)):
-            c = F.round(c.cast("double"), 6)
+            c = F.round(c.cast("double"), digits.get(f.name, 6))
         columns.append(c.alias(f.name))
     return df.select(*columns)
 
@@ -42,13 +42,18 @@ def joined(column: str, sep: str = ",") -> F.Column:
     return F.array_join(F.transform(column, lambda x: x.cast("string")), sep)
 
 
-def query(name: str, sql: str | None = None, uses: tuple[str, ...] = ()):
-    """Register a query. ``uses`` names the CTEs its SQL builds on."""
+def query(name: str, sql: str | None = None, uses: tuple[str, ...] = (), digits: dict[str, int] | None = None):
+    """Register a query.
+
+    ``uses`` names the CTEs its SQL builds on. Doubles are rounded to 6
+    digits; ``digits`` names columns in which exact halves occur there, which
+    engines round apart, and a digit at which they do not.
+    """
 
     def add(fn: Callable[[SparkSession, str], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"query {name!r} is registered twice")
-        QUERIES[name] = lambda spark, d: comparable(fn(tune(spark), d))
+        QUERIES[name] = lambda spark, d: comparable(fn(tune(spark), d), digits or {})
         if sql is not None:
             ORACLES[name] = with_ctes(sql, uses)
         return fn

@@ -70,8 +70,9 @@ def _(spark, d):
 
 @query(
     "service_dependencies_stats",
-    f"SELECT {DEPS}, round(avg_duration_ms, 6) AS avg_duration_ms, error_count FROM deps",
+    f"SELECT {DEPS}, round(avg_duration_ms, 9) AS avg_duration_ms, error_count FROM deps",
     uses=("deps",),
+    digits={"avg_duration_ms": 9},
 )
 def _(spark, d):
     return deps(spark, d, with_stats=True)
@@ -137,8 +138,9 @@ def _(spark, d):
 
 @query(
     "call_graph",
-    "SELECT source_service, target_service, call_count, round(avg_duration_ms, 6) AS avg_duration_ms, error_count FROM deps",
+    "SELECT source_service, target_service, call_count, round(avg_duration_ms, 9) AS avg_duration_ms, error_count FROM deps",
     uses=("deps",),
+    digits={"avg_duration_ms": 9},
 )
 def _(spark, d):
     graph = deps(spark, d, with_stats=True)

@@ -32,7 +32,7 @@ def texts(*columns: str) -> dict:
        CASE WHEN metric_type = 'exponential_histogram' THEN '-2:' || rest END AS negative,
        summary_count, round(summary_sum, 6) AS summary_sum,
        CAST(CASE WHEN metric_type = 'summary' THEN 2 END AS BIGINT) AS quantile_count,
-       CAST(l_linenumber AS VARCHAR) AS line
+       concat_ws('/', l_orderkey, l_partkey, l_linenumber) AS line
     FROM metrics""",
     uses=("metrics",),
 )
@@ -58,7 +58,7 @@ def _(spark, d):
 @query(
     "flatten_metrics_by_type",
     """SELECT name, 'demo metric' AS description, '1' AS unit, service_name, metric_timestamp,
-       round(CASE WHEN metric_type = 'histogram' THEN l_extendedprice / nullif(q, 0) ELSE value END, 6) AS value,
+       round(CASE WHEN metric_type = 'histogram' THEN l_extendedprice / nullif(q, 0) ELSE value END, 8) AS value,
        metric_type AS metric_type_detail,
        CASE WHEN metric_type = 'sum' THEN l_linenumber > 1 END AS is_monotonic,
        CASE WHEN metric_type = 'sum' THEN 'CUMULATIVE' END AS aggregation_temporality,
@@ -67,6 +67,7 @@ def _(spark, d):
        array_to_string(histogram_bounds, ',') AS explicit_bounds
     FROM metrics WHERE metric_type IN ('gauge', 'sum', 'histogram')""",
     uses=("metrics",),
+    digits={"value": 8},
 )
 def _(spark, d):
     flat = M.flatten_metrics_by_type(A.raw_metrics(spark, d))
@@ -86,15 +87,15 @@ def _(spark, d):
 
 @query(
     "dedup_metrics",
-    f"""SELECT DISTINCT {SERIES}, metric_timestamp, CAST(l_linenumber AS VARCHAR) AS line,
-       CAST(l_partkey AS VARCHAR) AS part, CAST(l_orderkey AS VARCHAR) AS "order", delay_s FROM metrics""",
+    f"""SELECT DISTINCT {SERIES}, metric_timestamp,
+       concat_ws('/', l_orderkey, l_partkey, l_linenumber) AS line, delay_s FROM metrics""",
     uses=("metrics",),
 )
 def _(spark, d):
     a = F.col("attributes")
     return M.dedup_metrics(A.metrics(spark, d)).select(
         "name", "service_name", "metric_type", "metric_timestamp", a["line"].alias("line"),
-        a["part"].alias("part"), a["order"].alias("order"), a["delay_s"].cast("bigint").alias("delay_s"),
+        a["delay_s"].cast("bigint").alias("delay_s"),
     )
 
 
@@ -210,7 +211,7 @@ DISTRIBUTION_SQL = f"""SELECT {SERIES}, time_bucket(INTERVAL '1 minute', metric_
 cte("distributions", DISTRIBUTION_SQL, ("metrics",))
 
 DISTRIBUTION_COLUMNS = f"""{SERIES}, window_start, window_end, total_count, round(total_sum, 6) AS total_sum,
-       round(avg_value, 6) AS avg_value, round(min_value, 6) AS min_value, round(max_value, 6) AS max_value,
+       round(avg_value, 9) AS avg_value, round(min_value, 6) AS min_value, round(max_value, 6) AS max_value,
        array_to_string(histogram_bounds, ',') AS histogram_bounds, bounds_mismatch, exp_histogram_scale,
        exp_histogram_zero_count_sum, array_to_string(bucket_texts, ';') AS buckets,
        exp_samples AS positive_samples, exp_samples AS negative_samples, quantile_samples_count"""
@@ -232,14 +233,14 @@ def _distribution_texts(rollup):
     )
 
 
-@query("histogram_rollup", f"SELECT {DISTRIBUTION_COLUMNS} FROM distributions", uses=("distributions",))
+@query("histogram_rollup", f"SELECT {DISTRIBUTION_COLUMNS} FROM distributions", uses=("distributions",), digits={"avg_value": 9})
 def _(spark, d):
     out = _distribution_texts(distributions(spark, d))
     return out.withColumn("buckets", F.array_join(F.array_sort("_buckets"), ";")).drop("_buckets")
 
 
 # Cut at two points per row, then put together again.
-@query("histogram_rollup_in_parts", f"SELECT {DISTRIBUTION_COLUMNS} FROM distributions", uses=("distributions",))
+@query("histogram_rollup_in_parts", f"SELECT {DISTRIBUTION_COLUMNS} FROM distributions", uses=("distributions",), digits={"avg_value": 9})
 def _(spark, d):
     out = _distribution_texts(distributions(spark, d, max_points=2))
     lists = ["_buckets", "positive_samples", "negative_samples", "quantile_samples_count"]
@@ -251,9 +252,10 @@ def _(spark, d):
 
 @query(
     "histogram_rollup_profile",
-    f"""SELECT {SERIES}, window_start, CAST(0 AS BIGINT) AS part, total_count, round(avg_value, 6) AS avg_value,
+    f"""SELECT {SERIES}, window_start, CAST(0 AS BIGINT) AS part, total_count, round(avg_value, 9) AS avg_value,
        CAST(len(bucket_texts) AS BIGINT) AS bucket_samples_count, quantile_samples_count FROM distributions""",
     uses=("distributions",),
+    digits={"avg_value": 9},
 )
 def _(spark, d):
     return R.histogram_rollup_profile(distributions(spark, d))

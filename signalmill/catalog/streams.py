@@ -144,6 +144,7 @@ def _(spark, d):
     f"""SELECT {DISTRIBUTION_COLUMNS} FROM distributions
     WHERE window_end <= {CLOSED_METRICS.format(types="'histogram', 'exponential_histogram', 'summary'")} - INTERVAL 30 SECOND""",
     uses=("distributions",),
+    digits={"avg_value": 9},
 )
 def _(spark, d):
     flat = M.flatten_metrics(A.metrics_of(stream(spark, d, "lineitem")))

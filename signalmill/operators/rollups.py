@@ -53,7 +53,7 @@ def rerollup(rollup: DataFrame, size: str = "5 minutes") -> DataFrame:
     ``avg_value`` is the mean of the finer means; ``weighted_avg_value`` is
     the mean over the samples.
     """
-    grouped = rollup.groupBy(*SERIES, F.window("window_start", size).alias("window")).agg(
+    grouped = rollup.groupBy(*SERIES, C.floor_to("window_start", size).alias("window_start")).agg(
         F.sum("sample_count").alias("sample_count"),
         F.avg("avg_value").alias("avg_value"),
         F.min("min_value").alias("min_value"),
@@ -62,8 +62,8 @@ def rerollup(rollup: DataFrame, size: str = "5 minutes") -> DataFrame:
     )
     return grouped.select(
         *SERIES,
-        F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"),
+        "window_start",
+        (F.col("window_start") + F.expr(f"INTERVAL {size}")).alias("window_end"),
         "sample_count", "avg_value", "min_value", "max_value", "sum_value",
         F.try_divide(F.col("sum_value"), F.col("sample_count")).alias("weighted_avg_value"),
     )

@@ -34,6 +34,7 @@ def local_session(name: str = "signalmill", cpus: int | str = 8, memory: str = "
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(cpus))
     )
