@@ -16,10 +16,6 @@ FLAT = [
     "severity_number", "severity_text", "body", "service_name", "attributes", "ingestion_timestamp",
 ]
 
-# Rows without a complete key are spread over this many shuffle keys.
-_NULL_KEY_SPREAD = 4096
-
-
 def flatten_logs(
     raw: DataFrame,
     precision: str = "micro",
@@ -51,25 +47,36 @@ def span_context(wide_spans: DataFrame) -> DataFrame:
     )
 
 
-def _with_spread(logs: DataFrame) -> DataFrame:
+def _with_join_keys(logs: DataFrame) -> DataFrame:
     # A left join sends all rows with a NULL key to one task. Such rows match
-    # nothing, so any value will do as a third join key on their side.
+    # nothing, so they get keys that no span has and that spread them.
     loose = F.col("trace_id").isNull() | F.col("span_id").isNull()
-    spread = F.pmod(F.xxhash64("observed_timestamp", "body", "service_name"), F.lit(_NULL_KEY_SPREAD))
-    return logs.withColumn("_spread", F.when(loose, spread + 1).otherwise(F.lit(0)))
+    nowhere = F.concat(F.lit("\u0000"), F.xxhash64("observed_timestamp", "body", "service_name").cast("string"))
+    return logs.withColumns(
+        {
+            "_trace_id": F.when(loose, nowhere).otherwise(F.col("trace_id")),
+            "_span_id": F.when(loose, F.lit("")).otherwise(F.col("span_id")),
+        }
+    )
 
 
 def enrich_logs(logs: DataFrame, wide_spans: DataFrame, dedup_spans: bool = True) -> DataFrame:
     """Left join of log records to the span they were written in.
 
     Takes a batch or a stream of logs; the spans are a batch table. Repeated
-    spans are reduced first, so that a log record stays one row.
+    spans are reduced first, so that a log record stays one row; pass
+    ``dedup_spans=False`` for a table that has none, which saves that shuffle.
+    The key is packed after this step, so that both inputs of the join come
+    straight from a shuffle: a span with very many records is then a skewed
+    partition that Spark splits.
     """
     context = span_context(wide_spans)
     if dedup_spans:
         context = dedup(context, ["trace_id", "span_id"])
-    context = context.withColumn("_spread", F.lit(0))
-    return _with_spread(logs).join(context, ["trace_id", "span_id", "_spread"], "left").drop("_spread")
+    context = context.withColumn("_span", F.struct("trace_id", "span_id")).drop("trace_id", "span_id")
+    keyed = _with_join_keys(logs)
+    key = F.struct(F.col("_trace_id").alias("trace_id"), F.col("_span_id").alias("span_id"))
+    return keyed.withColumn("_span", key).join(context, "_span", "left").drop("_span", "_trace_id", "_span_id")
 
 
 def enrich_logs_streaming(
@@ -81,20 +88,21 @@ def enrich_logs_streaming(
     with the watermarks, is what lets Spark drop state and emit unmatched rows.
     """
     context = wide_spans.select(
-        F.col("trace_id").alias("_trace_id"),
-        F.col("span_id").alias("_span_id"),
+        F.col("trace_id").alias("_span_trace_id"),
+        F.col("span_id").alias("_span_span_id"),
         F.col("start_timestamp").alias("span_start"),
         F.col("name").alias("span_name"),
         "kind", "http_url", "http_method", "http_status_code",
     ).withWatermark("span_start", delay)
     gap = F.expr(f"INTERVAL {max_gap}")
     near = (
-        (F.col("trace_id") == F.col("_trace_id"))
-        & (F.col("span_id") == F.col("_span_id"))
+        (F.col("_trace_id") == F.col("_span_trace_id"))
+        & (F.col("_span_id") == F.col("_span_span_id"))
         & (F.col("span_start") >= F.col("log_timestamp") - gap)
         & (F.col("span_start") <= F.col("log_timestamp") + gap)
     )
-    return logs.withWatermark("log_timestamp", delay).join(context, near, "left").drop("_trace_id", "_span_id")
+    keyed = _with_join_keys(logs.withWatermark("log_timestamp", delay))
+    return keyed.join(context, near, "left").drop("_trace_id", "_span_id", "_span_trace_id", "_span_span_id")
 
 
 def trace_id_profile(logs: DataFrame) -> DataFrame:

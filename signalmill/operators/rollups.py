@@ -129,17 +129,19 @@ def histogram_rollup(
     totals = _distribution_totals()
     if points.isStreaming:
         points = points.withColumn("part", F.pmod(F.xxhash64(*spread), F.lit(parts)).cast("int"))
-        scalars = [c.alias(n) for n, c in totals.items()]
+        groups, scalars = [*SERIES, "window"], [c.alias(n) for n, c in totals.items()]
     else:
-        points = tag_large_groups(points, SERIES + ["window"], spread, max_points, totals, null_safe=True)
-        scalars = whole_or_part(totals)
-    grouped = points.groupBy(*SERIES, "window", "part").agg(
+        points = tag_large_groups(points, [*SERIES, "window"], spread, max_points, totals)
+        groups, scalars = ["_key"], whole_or_part(totals)
+    grouped = points.groupBy(*groups, "part").agg(
         *scalars,
         F.collect_list("histogram_buckets").alias("histogram_buckets_list"),
         F.collect_list("exp_histogram_positive_bucket").alias("exp_histogram_positive_bucket_list"),
         F.collect_list("exp_histogram_negative_bucket").alias("exp_histogram_negative_bucket_list"),
         F.collect_list("summary_quantiles").alias("summary_quantiles_list"),
     )
+    if "_key" in grouped.columns:
+        grouped = grouped.select("_key.*", "*")
     return grouped.select(
         *SERIES,
         F.col("window.start").alias("window_start"),

@@ -6,41 +6,39 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 def tag_large_groups(
-    df: DataFrame,
-    keys: list[str],
-    spread: list[str],
-    max_rows: int,
-    totals: dict[str, Column],
-    null_safe: bool = False,
+    df: DataFrame, keys: list[str], spread: list[str], max_rows: int, totals: dict[str, Column]
 ) -> DataFrame:
     """Cut groups above ``max_rows`` into parts of about that size.
 
-    Adds ``part`` (0 for a group that stays whole, else a hash of the
-    ``spread`` columns) and ``_totals``, a struct of the ``totals`` aggregates
-    over the whole group, NULL for a group that stays whole. Group by
-    ``keys + ["part"]`` afterwards: no task then collects more than one part.
+    Adds ``_key``, a struct of the ``keys``; ``part``, 0 for a group that stays
+    whole, else a hash of the ``spread`` columns, which must tell the rows of a
+    group apart; and ``_totals``, a struct of the ``totals`` aggregates over
+    the whole group, NULL for a group that stays whole. Group by ``_key`` and
+    ``part`` afterwards: no task then collects more than one part at a time.
 
     Group sizes come from a map-side combined aggregate. Only the large groups
     enter the join, so it runs as a broadcast join when Spark measures them to
-    be small, and as a sort-merge join with skew splitting when they are not.
+    be small, and as a sort-merge join with skew splitting when they are not;
+    the aggregate that follows re-uses the join's partitioning. The struct is
+    what makes that work for NULL keys: it is never NULL itself, and structs
+    with equal NULL fields are equal.
     """
-    names = list(totals)
     sizes = (
         df.groupBy(*keys)
         .agg(F.count("*").alias("_n"), *[c.alias(f"_total_{n}") for n, c in totals.items()])
         .filter(F.col("_n") > max_rows)
         .select(
-            *[F.col(k).alias(f"_large_{k}") for k in keys],
+            # Built after the aggregate, so that the few large groups are
+            # shuffled once more: Spark splits a skewed join only when both
+            # its inputs come straight from a shuffle.
+            F.struct(*keys).alias("_key"),
             F.ceil(F.col("_n") / max_rows).alias("_parts"),
-            F.struct(*[F.col(f"_total_{n}").alias(n) for n in names]).alias("_totals"),
+            F.struct(*[F.col(f"_total_{n}").alias(n) for n in totals]).alias("_totals"),
         )
     )
-    match = F.lit(True)
-    for k in keys:
-        left, right = F.col(k), F.col(f"_large_{k}")
-        match = match & (left.eqNullSafe(right) if null_safe else left == right)
     part = F.coalesce(F.pmod(F.xxhash64(*spread), F.col("_parts")), F.lit(0)).cast("int")
-    return df.join(sizes, match, "left").withColumn("part", part).drop("_parts", *[f"_large_{k}" for k in keys])
+    keyed = df.withColumn("_key", F.struct(*keys))
+    return keyed.join(sizes, "_key", "left").withColumn("part", part).drop("_parts")
 
 
 def whole_or_part(totals: dict[str, Column]) -> list[Column]:

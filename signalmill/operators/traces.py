@@ -46,14 +46,13 @@ def assemble_traces(
     row ever holds an unbounded list. ``interval`` looks at span starts: a
     trace that straddles the edge is assembled from its recent spans.
     """
-    # A non-null grouping key lets the aggregate re-use the join's partitioning.
     recent = lookback(spans, "start_timestamp", interval, as_of).select(
-        F.coalesce("trace_id", F.lit("")).alias("_trace"), *SPAN_DETAIL, "start_timestamp", "end_timestamp"
+        "trace_id", *SPAN_DETAIL, "start_timestamp", "end_timestamp"
     )
     totals = _totals()
-    tagged = tag_large_groups(recent, ["_trace"], ["span_id", "start_timestamp", "name"], max_spans, totals)
-    out = tagged.groupBy("_trace", "part").agg(*whole_or_part(totals), _span_list().alias("span_details"))
-    out = C.trace_derived(out).withColumn("trace_id", F.nullif(F.col("_trace"), F.lit("")))
+    tagged = tag_large_groups(recent, ["trace_id"], ["span_id", "start_timestamp", "name"], max_spans, totals)
+    out = tagged.groupBy("_key", "part").agg(*whole_or_part(totals), _span_list().alias("span_details"))
+    out = C.trace_derived(out.select("_key.*", "*"))
     return C.stamp(out, as_of=as_of).select(
         "trace_id", "part", "span_count", "trace_start", "trace_end", "total_trace_duration_ms",
         "services_involved", "service_count", "error_count", "has_errors", "max_span_duration_ms",

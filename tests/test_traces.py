@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from conftest import log, span
 from pyspark.sql import functions as F
 
@@ -10,7 +11,7 @@ from signalmill.operators import dependencies as D
 from signalmill.operators import health as H
 from signalmill.operators import quality as Q
 from signalmill.operators import traces as T
-from signalmill.operators.logs import flatten_logs
+from signalmill.operators.logs import enrich_logs, flatten_logs
 from signalmill.operators.spans import flatten_spans
 
 
@@ -58,7 +59,42 @@ def test_assembly_is_one_row_per_trace(raw):
     assert T.assemble_traces_windowed(flat(raw, rows), delay=None).count() == 2
 
 
-def test_hot_trace_is_cut_into_bounded_parts_and_stays_whole(spark):
+# The plan for data too large to broadcast, with skew found at any size.
+LARGE = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1b",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "500b",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+@pytest.fixture
+def large(spark):
+    before = {k: spark.conf.get(k, None) for k in LARGE}
+    for k, v in LARGE.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def final_plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_span_in_logs_and_hot_parent_are_split(spark, raw, large):
+    spans = flatten_spans(raw("spans", [span(span_id=str(i), parent=None if i == 0 else "0", start=i * 1.37, service=f"s{i}") for i in range(600)] + [span(trace=f"t{i}") for i in range(100)]), wide=True)
+    logs = flatten_logs(raw("logs", [log(span_id="0", at=i) for i in range(600)] + [log(trace=f"t{i}") for i in range(100)]))
+    enriched = enrich_logs(logs, spans)
+    assert sum(r.span_name is not None for r in enriched.collect()) == 700
+    assert "skew=true" in final_plan(enriched)
+    edges = T.span_edges(spans)
+    assert len(edges.collect()) == 599
+    assert "skew=true" in final_plan(edges)
+
+
+def test_hot_trace_is_cut_into_bounded_parts_and_stays_whole(spark, large):
     # A third of all spans belong to one trace, and a few have no trace at all.
     n, limit = 3000, 100
     spans = spark.range(n).select(
@@ -68,19 +104,10 @@ def test_hot_trace_is_cut_into_bounded_parts_and_stays_whole(spark):
         F.timestamp_seconds(F.col("id")).alias("start_timestamp"), F.timestamp_seconds(F.col("id") + 1).alias("end_timestamp"),
         F.col("id").cast("double").alias("duration_ms"), (F.col("id") % 10 == 0).alias("is_error"),
     )
-    # Force the large-data plan: no broadcast, skewed partitions split early.
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1b", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1kb",
-    }
-    before = {k: spark.conf.get(k, None) for k in settings}
-    try:
-        for k, v in settings.items():
-            spark.conf.set(k, v)
-        rows = T.assemble_traces(spans, None, max_spans=limit).collect()
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assembled = T.assemble_traces(spans, None, max_spans=limit)
+    rows = assembled.collect()
+    plan = final_plan(assembled)
+    assert "SortMergeJoin(skew=true)" in plan
     hot = [r for r in rows if r.trace_id == "hot"]
     assert len(hot) == 10 and {r.span_count for r in hot} == {1000}
     assert {r.avg_span_duration_ms for r in hot} == {sum(range(0, n, 3)) / 1000}
