@@ -1,5 +1,5 @@
 """Registered queries over the generic test tables."""
-from . import anomalies, graph, health, logs, metrics, quality, reports, sources, spans, streams  # noqa: F401
+from . import anomalies, graph, health, logs, metrics, projections, quality, reports, sources, spans, streams  # noqa: F401
 from .book import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

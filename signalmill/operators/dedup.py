@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def attribute_key(attributes: Column) -> Column:
-    """Map as comparable text; the order of its entries does not matter."""
-    return F.to_json(F.array_sort(F.map_entries(attributes)))
+    """Map as a comparable value, its entries in key order."""
+    return F.sort_array(F.map_entries(attributes))
 
 
 def dedup(

@@ -79,7 +79,7 @@ def infer_dependencies(spans: DataFrame) -> DataFrame:
     )
     chains = (
         arrivals.groupBy("trace_id")
-        .agg(F.array_sort(F.collect_list(F.struct("first_seen", "service_name"))).alias("chain"))
+        .agg(F.sort_array(F.collect_list(F.struct("first_seen", "service_name"))).alias("chain"))
         .filter(F.size("chain") > 1)
     )
     service = F.transform("chain", lambda s: s["service_name"])
@@ -97,7 +97,7 @@ def multi_service_traces(spans: DataFrame) -> DataFrame:
     """Traces that touch more than one service, with the set of services."""
     return (
         spans.groupBy("trace_id")
-        .agg(F.array_sort(F.collect_set("service_name")).alias("services"))
+        .agg(F.sort_array(F.collect_set("service_name")).alias("services"))
         .filter(F.size("services") > 1)
     )
 

@@ -45,7 +45,7 @@ def merge_histograms(metrics: DataFrame, size: str = "1 hour", keys: list[str] |
         F.sum("_sum").alias("total_sum"),
         F.min("_min").alias("min_value"),
         F.max("_max").alias("max_value"),
-        F.transform(F.array_sort(F.collect_list(bucket)), lambda b: b["n"]).alias("buckets"),
+        F.transform(F.sort_array(F.collect_list(bucket)), lambda b: b["n"]).alias("buckets"),
     )
 
 
@@ -133,7 +133,7 @@ def merge_exp_histograms(metrics: DataFrame, size: str = "1 hour", keys: list[st
 
     def side(sign: int) -> Column:
         cell = F.when((F.col("sign") == sign) & (F.col("n") > 0), F.struct("idx", "n"))
-        return F.array_sort(F.collect_list(cell))
+        return F.sort_array(F.collect_list(cell))
 
     return merged.groupBy(*group, F.col("min_scale").alias("scale")).agg(
         F.sum("_points").alias("point_count"),

@@ -123,7 +123,7 @@ def histogram_rollup(
     points = points.withColumns(
         {
             "window": F.window("metric_timestamp", size),
-            "_spread": F.xxhash64(F.to_json("attributes"), "histogram_sum", "exp_histogram_sum", "summary_sum"),
+            "_spread": F.xxhash64(F.map_keys("attributes"), F.map_values("attributes"), "histogram_sum", "exp_histogram_sum", "summary_sum"),
         }
     )
     totals = _distribution_totals()

@@ -16,7 +16,7 @@ def _totals() -> dict[str, Column]:
         "span_count": F.count("*"),
         "trace_start": F.min("start_timestamp"),
         "trace_end": F.max("end_timestamp"),
-        "services_involved": F.array_sort(F.collect_set("service_name")),
+        "services_involved": F.sort_array(F.collect_set("service_name")),
         "error_count": F.sum(F.col("is_error").cast("int")),
         "max_span_duration_ms": F.max("duration_ms"),
         "avg_span_duration_ms": F.avg("duration_ms"),
@@ -24,7 +24,7 @@ def _totals() -> dict[str, Column]:
 
 
 def _span_list() -> Column:
-    return F.array_sort(F.collect_list(F.struct(*SPAN_DETAIL)))
+    return F.sort_array(F.collect_list(F.struct(*SPAN_DETAIL)))
 
 
 def trace_summaries(spans: DataFrame, interval: str | None = None, as_of: Column | None = None) -> DataFrame:
