@@ -48,10 +48,18 @@ SPARK_TO_DUCK = {
 }
 
 
+# What no plan may hold: row-wise Python and joins without a key.
+UNWANTED = ("Python", "CartesianProduct", "BroadcastNestedLoopJoin")
+
+
 def compare(spark, con, name: str, fn, sql: str | None, sf_dir: str) -> str | None:
     """None when equal, else what differs."""
     df = fn(spark, sf_dir)
     ours = df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    unwanted = [word for word in UNWANTED if word in plan]
+    if unwanted:
+        return f"plan has {unwanted}"
     if sql is None:
         return None if ours else "no rows"
     cur = con.execute(sql)
