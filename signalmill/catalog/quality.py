@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.predicates import of_type
 from ..operators import quality as Q
-from ..operators.logs import flatten_logs
 from . import adapters as A
 from .book import query
-from .health import h1, h5
-from .metrics import ROLLUP_COLUMNS, SERIES, distributions, rollup1
+from .health import h5
+from .metrics import SERIES, distributions, rollup1
 
 
 @query(
