@@ -42,3 +42,72 @@ SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT
        sha256(coalesce(kept, '')) AS kept_sha256
 FROM w LEFT JOIN k USING (doc_id)
 """
+
+
+def held_out(parts: int, part: int):
+    """Whether crc32 of the doc_id as text leaves this remainder."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts == part, F.lit(False))
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import score, train
+
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs.filter(~held_out(4, 2)), table(spark, sf_dir, "labels"))
+    scored = score(docs.withColumn("held_out", held_out(4, 2)), model, ("doc_id", "held_out"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import identify
+
+    docs = table(spark, sf_dir, "documents")
+    return identify(docs.withColumn("held_out", held_out(3, 1)), docs.filter(~held_out(3, 1)), ("doc_id", "held_out"))
+
+
+@query
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .bpe import decode, encode
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decode(encode(docs, path).drop("text"), path).select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix_report
+
+    return mix_report(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLES["op9_mixing"] = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         (('0x' || substr(md5('mix:' || doc_id), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u
+  FROM documents),
+t AS (SELECT source, sum(size)::BIGINT AS total, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS i FROM d GROUP BY source),
+c AS (SELECT *, [5, 2, 1][i % 3 + 1] AS weight, 3 * total AS cap, (3 * total) / [5, 2, 1][i % 3 + 1] AS fill FROM t),
+l AS (SELECT *, (sum(total) OVER () - coalesce(sum(cap) OVER (ORDER BY fill, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+         / (sum(weight) OVER (ORDER BY fill, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level FROM c),
+v AS (SELECT min_by(level, fill) AS level FROM l WHERE level <= fill),
+r AS (SELECT source, total, least(cap::DOUBLE, v.level * weight) AS target FROM l, v),
+x AS (SELECT *, CASE WHEN total > 0 THEN target / total ELSE 0 END AS rate FROM r),
+y AS (SELECT *, floor(rate) AS whole, rate - floor(rate) AS p, target - floor(rate) * total AS rest FROM x),
+k AS (SELECT doc_id, size, total, target, whole, p, rest, d.source,
+         CASE WHEN p > 0 THEN (u / (1.0 - u)) * ((1.0 - p) / p) END AS q
+      FROM d JOIN y ON d.source IS NOT DISTINCT FROM y.source),
+m AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY q, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + size / 2 AS middle FROM k)
+SELECT doc_id, size, total AS source_size, target,
+       (size * (whole + CASE WHEN q IS NOT NULL AND middle <= rest THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM m
+"""

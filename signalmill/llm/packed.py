@@ -7,7 +7,7 @@ import uuid
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import tune, work_dir
 
@@ -32,6 +32,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+SMALL_ROWS = 1_000_000  # of a few numbers each: what a join may send to all tasks
+
+
+def join_small(big: DataFrame, small: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """A join that leaves the texts of ``big`` where they are if ``small`` is counted to be small, else by shuffle."""
+    if small.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS:
+        small = F.broadcast(small)
+    return big.join(small, on, how)
+
+
+def kinds_of(df: DataFrame, names) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*(F.col(f"`{n}`") for n in names)).schema.fields)
+
+
 def pack(*arrays: np.ndarray) -> bytes:
     """Arrays of equal length as one cell; ids are kept as differences, which compress well."""
     parts = [np.int64(len(arrays[0])).tobytes()]

@@ -32,7 +32,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .packed import buckets, by_bucket, pack, ready, run_starts, unpack, unpack_all
+from .packed import buckets, by_bucket, pack, ready, run_starts, stored, unpack_all
 from .words import as_bytes, chunks, mix, sequence_codes, word_codes
 
 ANCHOR = 5
@@ -85,9 +85,9 @@ def _common_words(docs: DataFrame, share: float) -> np.ndarray:
                     )
 
     counted = docs.select("text").mapInPandas(count, "word bigint, times bigint, total bigint")
-    counted = counted.groupBy("word").agg(F.sum("times").alias("times"), F.sum("total").alias("total"))
-    whole = counted.agg(F.sum("total").alias("whole"))
-    found = counted.crossJoin(F.broadcast(whole)).filter(F.col("times") >= F.col("whole") * F.lit(share))
+    counted = stored(counted.groupBy("word").agg(F.sum("times").alias("times"), F.sum("total").alias("total")), "common-words")
+    whole = counted.agg(F.sum("total")).first()[0] or 0
+    found = counted.filter(F.col("times") >= F.lit(max(1.0, whole * share)))
     return np.sort(found.toPandas()["word"].to_numpy(np.int64).view(np.uint64))
 
 
@@ -119,121 +119,95 @@ def _settle(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return order, starts[run], (d[starts] != d[last])[run] if len(k) else np.zeros(0, bool)
 
 
-def _per_document(doc: np.ndarray, tkey: np.ndarray, values: np.ndarray, pass_to: int | None = None) -> pd.DataFrame:
-    """Packed values of each document; with ``pass_to``, dealt to so many negative buckets."""
-    order = np.lexsort((tkey, doc))
-    d, t, v = doc[order], tkey[order], values[order]
-    starts = run_starts(d, t)
-    ends = np.append(starts[1:], len(d))
-    out = {"doc_id": d[starts], "tkey": t[starts].astype(np.int32), "cell": [pack(v[s:e]) for s, e in zip(starts, ends)]}
-    if pass_to:
-        out["bucket"] = -1 - (d[starts] % pass_to)
-    return pd.DataFrame(out)
-
-
-def _dealt(frame: pd.DataFrame) -> pd.DataFrame:
-    for c in ("doc_id", "tkey"):
-        if c not in frame:
-            frame[c] = 0
-    return frame[["bucket", "doc_id", "tkey", "cell"]]
-
-
-_DEALT = "bucket bigint, doc_id bigint, tkey int, cell binary"
-
-
-def _identity(docs: DataFrame) -> DataFrame:
+def _homes(docs: DataFrame, parts: int) -> DataFrame:
+    """doc_id, text, a part of the text's hash that tells repeated ids apart, and the bucket the row is at home in."""
+    tkey = F.xxhash64("text").bitwiseAND(F.lit(0xFFFF)).cast("int")
+    home = F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts))
+    # Ids stay whole numbers on their way through pandas: a null one is 0 and not known.
+    doc = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0))
     return docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
-        F.xxhash64("text").bitwiseAND(F.lit(0xFFFF)).cast("int").alias("tkey"),
-        F.col("text").cast("string").alias("text"),
-    )
+        doc.alias("doc_id"), F.col("text").cast("string").alias("text"), tkey.alias("tkey"), home.alias("home"),
+        F.col("doc_id").isNotNull().alias("known"),
+    )
 
 
-def repeated_windows(docs: DataFrame, n: int = 13, anchor: int = ANCHOR) -> DataFrame:
-    """Starts of the windows of ``n`` words that also start in a document with a smaller id.
+_DEALT = "bucket bigint, cell binary"
+_HITS = "home bigint, cell binary"
 
-    ``docs`` is what ``_identity`` returns, without null ids. Returns doc_id, tkey and packed
-    32-bit starts, in several rows for a document.
-    """
-    spark = docs.sparkSession
-    parts = buckets(spark)
-    anchor = min(anchor, n)
-    common = _common_words(docs, COMMON)
 
-    def anchors(batches: Iterator[pd.DataFrame]):
+def _anchors(named: DataFrame, n: int, anchor: int, parts: int) -> DataFrame:
+    """For each home, the anchors of its documents that stand in another document too: home, packed codes."""
+
+    def find(batches: Iterator[pd.DataFrame]):
         for batch in batches:
+            batch = batch[batch["known"]]
             texts = [as_bytes(t) for t in batch["text"]]
-            ids, keys = batch["doc_id"].to_numpy(np.int64), batch["tkey"].to_numpy(np.uint16)
+            ids, home = batch["doc_id"].to_numpy(np.int64), batch["home"].to_numpy(np.uint32)
             for a, b in chunks(texts):
                 _, owner, _, least = _windows(texts[a:b], n, anchor)
                 first = run_starts(owner, least)
                 first = first[owner[first] >= 0]
                 row, value = owner[first] + a, least[first]
                 order, head, several = _settle(value, ids[row])
-                row, value = row[order], value[order]
-                sent = head == np.arange(len(head))
-                yield _dealt(by_bucket((value[sent] % np.uint64(parts)).astype(np.int64), value[sent], ids[row][sent], keys[row][sent]))
+                sent = np.sort(order[head == np.arange(len(head))])
+                yield by_bucket((value[sent] % np.uint64(parts)).astype(np.int64), value[sent], ids[row[sent]], home[row[sent]])
                 if several.any():
-                    yield _dealt(_per_document(ids[row][several], keys[row][several], value[several], parts))
+                    known = order[several]
+                    yield by_bucket(-1 - home[row[known]].astype(np.int64), value[known])
 
     def shared(group: pd.DataFrame) -> pd.DataFrame:
-        if group["bucket"].iloc[0] < 0:
-            return group[["doc_id", "tkey", "cell"]]
-        value, doc, tkey = unpack_all(group["cell"], np.uint64, np.int64, np.uint16)
+        bucket = int(group["bucket"].iloc[0])
+        if bucket < 0:
+            value = np.unique(unpack_all(group["cell"], np.uint64)[0])
+            return pd.DataFrame({"home": [-1 - bucket], "cell": [pack(value)]})
+        value, doc, home = unpack_all(group["cell"], np.uint64, np.int64, np.uint32)
         order, _, several = _settle(value, doc)
         chosen = order[several]
-        return _per_document(doc[chosen], tkey[chosen], value[chosen])
-
-    hits = (
-        docs.mapInPandas(anchors, _DEALT)
-        .groupBy("bucket")
-        .applyInPandas(shared, _HITS)
-        .groupBy("doc_id", "tkey")
-        .agg(F.collect_list("cell").alias("cells"))
-    )
-
-    def suffixes(batches: Iterator[pd.DataFrame]):
-        for batch in batches:
-            texts = [as_bytes(t) for t in batch["text"]]
-            ids, keys = batch["doc_id"].to_numpy(np.int64), batch["tkey"].to_numpy(np.uint16)
-            cells = batch["cells"].tolist()
-            for a, b in chunks(texts):
-                codes, owner, place, least = _windows(texts[a:b], n, anchor)
-                wanted = np.unique(unpack_all([c for cell in cells[a:b] for c in cell], np.uint64)[0])
-                first = run_starts(least)
-                held = np.repeat(np.isin(least[first], wanted), np.diff(np.append(first, len(least))))
-                at = np.flatnonzero(held & (owner >= 0))
-                if not len(at):
-                    continue
-                row, value = owner[at] + a, sequence_codes(codes, n, 2)[at]
-                group = _groups(codes, at, common, n)
-                order, head, _ = _settle(value, ids[row])
-                row, value, group, start = row[order], value[order], group[order], place[at][order].astype(np.uint32)
-                doc, tkey = ids[row], keys[row]
-                sent = head == np.arange(len(head))
-                s = np.flatnonzero(sent)
-                s = s[np.lexsort((start[s], row[s]))]
-                yield _dealt(by_bucket((group[s] % np.uint64(parts)).astype(np.int64), value[s], doc[s], tkey[s], start[s]))
-                # Records with the id of the first one wait for what other tasks hold; they are sent too.
-                same = ~sent & (doc == doc[head])
-                if same.any():
-                    yield _dealt(by_bucket((group[same] % np.uint64(parts)).astype(np.int64), value[same], doc[same], tkey[same], start[same]))
-                late = doc != doc[head]
-                if late.any():
-                    yield _dealt(_per_document(doc[late], tkey[late], start[late], parts))
+        return by_bucket(home[chosen].astype(np.int64), value[chosen]).rename(columns={"bucket": "home"})
+
+    return named.select("doc_id", "text", "home", "known").mapInPandas(find, _DEALT).groupBy("bucket").applyInPandas(shared, _HITS)
+
+
+def _repeats(named: DataFrame, hits: DataFrame, n: int, anchor: int, parts: int, common: np.ndarray) -> DataFrame:
+    """For each home, the windows that also start in a document with a smaller id: home, packed (doc_id, tkey, start)."""
+
+    def suffixes(key, batch: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        home, out = int(key[0]), []
+        wanted = np.unique(unpack_all(found["cell"], np.uint64)[0])
+        batch = batch[batch["known"]].sort_values(["doc_id", "tkey"])
+        texts = [as_bytes(t) for t in batch["text"]]
+        ids, keys = batch["doc_id"].to_numpy(np.int64), batch["tkey"].to_numpy(np.uint16)
+        for a, b in chunks(texts) if len(wanted) else ():
+            codes, owner, place, least = _windows(texts[a:b], n, anchor)
+            first = run_starts(least)
+            held = np.repeat(np.isin(least[first], wanted), np.diff(np.append(first, len(least))))
+            at = np.flatnonzero(held & (owner >= 0))
+            row, value, start = owner[at] + a, sequence_codes(codes, n, 2)[at], place[at].astype(np.uint32)
+            bucket = (_groups(codes, at, common, n) % np.uint64(parts)).astype(np.int64)
+            doc, tkey = ids[row], keys[row]
+            order, head, _ = _settle(value, doc)
+            late = np.zeros(len(at), bool)
+            late[order] = doc[order] != doc[order][head]
+            # What comes after the first document here is settled; that one's windows wait for the other tasks.
+            sent = ~late
+            out.append(by_bucket(bucket[sent], value[sent], doc[sent], tkey[sent], start[sent], np.full(sent.sum(), home, np.uint32)))
+            if late.any():
+                out.append(pd.DataFrame({"bucket": [-1 - home], "cell": [pack(doc[late], tkey[late], start[late])]}))
+        return pd.concat(out) if out else pd.DataFrame({"bucket": [], "cell": []})
 
     def subtree(group: pd.DataFrame) -> pd.DataFrame:
-        if group["bucket"].iloc[0] < 0:
-            return group[["doc_id", "tkey", "cell"]]
-        value, doc, tkey, start = unpack_all(group["cell"], np.uint64, np.int64, np.uint16, np.uint32)
+        bucket = int(group["bucket"].iloc[0])
+        if bucket < 0:
+            return pd.DataFrame({"home": -1 - bucket, "cell": group["cell"]})
+        value, doc, tkey, start, home = unpack_all(group["cell"], np.uint64, np.int64, np.uint16, np.uint32, np.uint32)
         order, head, _ = _settle(value, doc)
-        chosen = order[doc[order] != doc[order][head]]
-        return _per_document(doc[chosen], tkey[chosen], start[chosen])
+        chosen = np.sort(order[doc[order] != doc[order][head]])
+        return by_bucket(home[chosen].astype(np.int64), doc[chosen], tkey[chosen], start[chosen]).rename(columns={"bucket": "home"})
 
     return (
-        docs.join(hits, ["doc_id", "tkey"])
-        .select("doc_id", "tkey", "text", "cells")
-        .mapInPandas(suffixes, _DEALT)
+        named.groupBy("home")
+        .cogroup(hits.groupBy("home"))
+        .applyInPandas(suffixes, _DEALT)
         .groupBy("bucket")
         .applyInPandas(subtree, _HITS)
     )
@@ -245,32 +219,36 @@ def remove_repeats(docs: DataFrame, n: int = 13, keep_text: bool = True) -> Data
     Returns doc_id, n_words, n_removed, kept_sha256, removed (maximal repeats as pairs of first
     word and length) and, with ``keep_text``, the kept words joined by one space.
     """
-    ready(docs.sparkSession)
-    named = _identity(docs)
-    known = named.filter("doc_id IS NOT NULL")
-    starts = repeated_windows(known, n).groupBy("doc_id", "tkey").agg(F.collect_list("cell").alias("cells"))
-    joined = known.join(starts, ["doc_id", "tkey"], "left").select("doc_id", "text", "cells")
-    joined = joined.unionByName(named.filter("doc_id IS NULL").select("doc_id", "text"), allowMissingColumns=True)
-
-    def cut(batches: Iterator[pd.DataFrame]):
-        for batch in batches:
-            rows = []
-            for doc, text, cells in zip(batch["doc_id"], batch["text"], batch["cells"]):
-                words = as_bytes(text).split()
-                total, spans = len(words), []
-                if cells is not None and len(cells):
-                    at = np.concatenate([unpack(c, np.uint32)[0] for c in cells]).astype(np.int64)
-                    marks = np.bincount(at, minlength=total + 1) - np.bincount(at + n, minlength=total + 1)
-                    gone = np.cumsum(np.clip(marks, -len(at), len(at)))[:total] > 0
-                    edge = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False])).astype(np.int8)))
-                    spans = [(int(s), int(e - s)) for s, e in zip(edge[::2], edge[1::2])]
-                    words = list(compress(words, ~gone))
-                kept = b" ".join(words)
-                row = (doc, total, total - len(words), hashlib.sha256(kept).hexdigest(), spans)
-                rows.append(row + (kept.decode("utf-8", "replace"),) if keep_text else row)
-            out = pd.DataFrame(rows, columns=["doc_id", "n_words", "n_removed", "kept_sha256", "removed"] + ["text"] * keep_text)
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+    spark = ready(docs.sparkSession)
+    parts, anchor = buckets(spark, 1), min(ANCHOR, n)
+    named = _homes(docs, parts)
+    hits = _anchors(named, n, anchor, parts)
+    starts = _repeats(named, hits, n, anchor, parts, _common_words(docs, COMMON))
+    columns = ["doc_id", "n_words", "n_removed", "kept_sha256", "removed"] + ["text"] * keep_text
+
+    def cut(batch: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        doc, tkey, start = unpack_all(found["cell"], np.int64, np.uint16, np.uint32)
+        order = np.lexsort((tkey, doc))
+        doc, tkey, start = doc[order], tkey[order], start[order]
+        begin = run_starts(doc, tkey)
+        spot = {(int(doc[s]), int(tkey[s])): start[s:e] for s, e in zip(begin, np.append(begin[1:], len(doc)))}
+        rows = []
+        for doc_id, known, key, text in zip(batch["doc_id"], batch["known"], batch["tkey"], batch["text"]):
+            words = as_bytes(text).split()
+            total, spans = len(words), []
+            at = spot.get((int(doc_id), int(key))) if known else None
+            if at is not None:
+                steps = np.bincount(at, minlength=total + 1) - np.bincount(at.astype(np.int64) + n, minlength=total + 1)
+                gone = np.cumsum(steps)[:total] > 0
+                edge = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False])).astype(np.int8)))
+                spans = [(int(s), int(e - s)) for s, e in zip(edge[::2], edge[1::2])]
+                words = list(compress(words, ~gone))
+            kept = b" ".join(words)
+            row = (int(doc_id) if known else None, total, total - len(words), hashlib.sha256(kept).hexdigest(), spans)
+            rows.append(row + (kept.decode("utf-8", "replace"),) if keep_text else row)
+        out = pd.DataFrame(rows, columns=columns)
+        out["doc_id"] = out["doc_id"].astype("Int64")
+        return out
 
     kind = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, removed array<struct<first: int, words: int>>"
-    return joined.mapInPandas(cut, kind + ", text string" * keep_text)
+    return named.groupBy("home").cogroup(starts.groupBy("home")).applyInPandas(cut, kind + ", text string" * keep_text)
