@@ -111,3 +111,13 @@ SELECT doc_id, size, total AS source_size, target,
        (size * (whole + CASE WHEN q IS NOT NULL AND middle <= rest THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM m
 """
+
+
+PII_KEY = "example key; a job brings its own"
+
+
+@query
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import pseudonymize
+
+    return pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
