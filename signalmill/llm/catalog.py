@@ -121,3 +121,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pii import pseudonymize
 
     return pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+
+
+@query
+def op4_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .spot_signatures import fingerprints
+
+    return fingerprints(table(spark, sf_dir, "documents"))
