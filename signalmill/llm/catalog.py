@@ -128,3 +128,10 @@ def op4_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .spot_signatures import fingerprints
 
     return fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .vector_search import search
+
+    return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
