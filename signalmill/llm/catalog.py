@@ -159,3 +159,13 @@ c AS (SELECT id, min(root) AS component_id FROM r GROUP BY id)
 SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, w.doc_id = component_id AS kept
 FROM w JOIN c ON c.id = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id
 """
+
+
+@query
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import score, train
+
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs.filter(~held_out(5, 0)), table(spark, sf_dir, "labels"))
+    scored = score(docs.withColumn("held_out", held_out(5, 0)), model, ("doc_id", "held_out"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
