@@ -239,10 +239,10 @@ def _(spark, d):
     return out.withColumn("buckets", F.array_join(F.array_sort("_buckets"), ";")).drop("_buckets")
 
 
-# Cut at two points per row, then put together again.
+# Two rows for every group, put together again.
 @query("histogram_rollup_in_parts", f"SELECT {DISTRIBUTION_COLUMNS} FROM distributions", uses=("distributions",), digits={"avg_value": 9})
 def _(spark, d):
-    out = _distribution_texts(distributions(spark, d, max_points=2))
+    out = _distribution_texts(distributions(spark, d, parts=2))
     lists = ["_buckets", "positive_samples", "negative_samples", "quantile_samples_count"]
     return out.groupBy(*[c for c in out.columns if c not in lists]).agg(
         F.array_join(F.array_sort(F.flatten(F.collect_list("_buckets"))), ";").alias("buckets"),
@@ -380,10 +380,7 @@ def _(spark, d):
     uses=("rollup1",),
 )
 def _(spark, d):
-    minute = F.date_trunc("minute", "metric_timestamp")
-    points = P.of_type(A.metrics(spark, d), "gauge", "sum")
-    start, end = points.agg(F.min(minute)).scalar(), points.agg(F.max(minute)).scalar()
-    return R.rollup_gaps(rollup1(spark, d), start, end)
+    return R.rollup_gaps(rollup1(spark, d))
 
 
 @query(

@@ -119,8 +119,8 @@ def _(spark, d):
     return out.withColumns({"services_involved": joined("services_involved"), "span_details": F.array_join(ids, ",")})
 
 
-# The same with a size limit small enough to cut every full trace: parts are
-# put together again, so the result shows that nothing is lost.
+# The same with three rows for every trace: parts are put together again, so
+# the result shows that totals are those of the whole and nothing is lost.
 @query(
     "assemble_traces_in_parts",
     f"""SELECT trace_id, {ASSEMBLED_COLUMNS}, span_count AS listed_spans,
@@ -128,7 +128,7 @@ def _(spark, d):
     uses=("assembled",),
 )
 def _(spark, d):
-    out = traces.assemble_traces(A.spans(spark, d), "40 DAYS", A.as_of(), max_spans=3)
+    out = traces.assemble_traces(A.spans(spark, d), "40 DAYS", A.as_of(), parts=3)
     out = out.withColumn("services_involved", joined("services_involved")).drop("ingestion_timestamp")
     scalars = [c for c in out.columns if c not in ("part", "span_details")]
     ids = F.flatten(F.collect_list(F.transform("span_details", lambda s: s["span_id"])))
@@ -156,7 +156,7 @@ def _(spark, d):
     uses=("spans",),
 )
 def _(spark, d):
-    out = C.unnest_window(traces.assemble_traces_windowed(A.spans(spark, d), delay=None))
+    out = C.unnest_window(traces.assemble_traces_windowed(A.spans(spark, d)))
     return out.select(
         "trace_id", "window_start", "window_end", "span_count", "trace_start", "trace_end", "error_count",
         "service_count", "avg_span_duration_ms",

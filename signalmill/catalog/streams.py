@@ -94,7 +94,9 @@ def _(spark, d):
     uses=("spans",),
 )
 def _(spark, d):
-    out = drained(spark, T.assemble_traces_windowed(span_stream(spark, d)), "assembly-stream")
+    totals = drained(spark, T.trace_totals(span_stream(spark, d)), "totals-stream")
+    details = drained(spark, T.trace_details(span_stream(spark, d)), "details-stream")
+    out = T.with_span_lists(totals, details)
     return out.select(
         "trace_id", F.col("window.start").alias("window_start"), "span_count", "trace_start", "trace_end", "error_count",
         joined("services_involved").alias("services_involved"),
@@ -148,7 +150,9 @@ def _(spark, d):
 )
 def _(spark, d):
     flat = M.flatten_metrics(A.metrics_of(stream(spark, d, "lineitem")))
-    out = _distribution_texts(drained(spark, R.histogram_rollup(flat, "1 minute", "30 seconds"), "histogram-stream"))
+    totals = drained(spark, R.histogram_totals(flat, "1 minute", "30 seconds"), "histogram-stream")
+    points = drained(spark, R.distribution_points(flat), "points-stream")
+    out = _distribution_texts(R.with_point_lists(totals, points))
     return out.withColumn("buckets", F.array_join(F.array_sort("_buckets"), ";")).drop("_buckets")
 
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import columns as C
 from ..functions.predicates import lookback, of_type
 from ..schemas import DISTRIBUTION_TYPES, NUMBER_TYPES
-from .skew import tag_large_groups, whole_or_part
+from .gather import Total, gather, total
 
+# What tells a series apart.
 SERIES = ["name", "service_name", "metric_type"]
 
 
@@ -84,74 +85,107 @@ def metric_rollups_hourly(
     )
 
 
-def _distribution_totals() -> dict[str, Column]:
+def _distribution_totals() -> dict[str, Total]:
     count = F.coalesce("histogram_count", "exp_histogram_count", "summary_count")
-    total = F.coalesce("histogram_sum", "exp_histogram_sum", "summary_sum")
+    value = F.coalesce("histogram_sum", "exp_histogram_sum", "summary_sum")
+    bounds = {"_bounds": F.min("histogram_bounds"), "_last_bounds": F.max("histogram_bounds")}
     return {
-        "total_count": F.sum(count),
-        "total_sum": F.sum(total),
-        "min_value": F.min(F.coalesce("histogram_min", "exp_histogram_min")),
-        "max_value": F.max(F.coalesce("histogram_max", "exp_histogram_max")),
-        "histogram_bounds": F.min("histogram_bounds"),
-        "bounds_mismatch": F.min("histogram_bounds") != F.max("histogram_bounds"),
-        "exp_histogram_scale": F.min("exp_histogram_scale"),
-        "exp_histogram_zero_count_sum": F.sum("exp_histogram_zero_count"),
+        "total_count": total(F.sum(count), F.sum, "_count"),
+        "total_sum": total(F.sum(value), F.sum, "_sum"),
+        "min_value": total(F.min(F.coalesce("histogram_min", "exp_histogram_min")), F.min, "_min"),
+        "max_value": total(F.max(F.coalesce("histogram_max", "exp_histogram_max")), F.max, "_max"),
+        "histogram_bounds": total(bounds["_bounds"], F.min, "_bounds"),
+        "bounds_mismatch": Total(bounds, lambda over: over(F.min, "_bounds") != over(F.max, "_last_bounds")),
+        "exp_histogram_scale": total(F.min("exp_histogram_scale"), F.min, "_scale"),
+        "exp_histogram_zero_count_sum": total(F.sum("exp_histogram_zero_count"), F.sum, "_zeros"),
     }
 
 
-def histogram_rollup(
-    metrics: DataFrame,
-    size: str = "1 minute",
-    delay: str | None = None,
-    max_points: int = 20_000,
-    parts: int = 1,
-    as_of: Column | None = None,
+# What a point brings to the lists of its group.
+POINT_LISTS = {
+    "histogram_buckets_list": "histogram_buckets",
+    "exp_histogram_positive_bucket_list": "exp_histogram_positive_bucket",
+    "exp_histogram_negative_bucket_list": "exp_histogram_negative_bucket",
+    "summary_quantiles_list": "summary_quantiles",
+}
+
+
+def _windowed_points(metrics: DataFrame, size: str) -> DataFrame:
+    spread = F.xxhash64(
+        F.map_keys("attributes"), F.map_values("attributes"), "histogram_sum", "exp_histogram_sum", "summary_sum"
+    )
+    points = of_type(metrics, *DISTRIBUTION_TYPES)
+    return points.withColumns({"window": F.window("metric_timestamp", size), "_spread": spread})
+
+
+def _with_mean(df: DataFrame) -> DataFrame:
+    return df.withColumn("avg_value", C.hist_mean(F.col("total_sum"), F.col("total_count")))
+
+
+_DISTRIBUTION_COLUMNS = [
+    "total_count", "total_sum", "avg_value", "min_value", "max_value", "histogram_bounds", "bounds_mismatch",
+    "exp_histogram_scale", "exp_histogram_zero_count_sum",
+]
+
+
+def _unwindowed(df: DataFrame, *columns: str, as_of: Column | None) -> DataFrame:
+    return df.select(
+        *SERIES, F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *columns,
+        C.now(as_of).alias("ingestion_timestamp"),
+    )
+
+
+def histogram_totals(
+    metrics: DataFrame, size: str = "1 minute", delay: str | None = None, as_of: Column | None = None
 ) -> DataFrame:
-    """Histogram, exponential-histogram and summary points per series and window.
-
-    The points' buckets and quantiles are kept as lists. A group above
-    ``max_points`` becomes several rows (``part``) with the totals of the whole
-    group and a share of the lists. On a stream, groups cannot be sized first:
-    lists are cut into a fixed number of ``parts`` and totals are per part.
-    ``bounds_mismatch`` tells that bounds differ inside the group; use
-    ``merge_histograms`` for sums that respect them.
+    """Counts, sums and extremes of histogram, exponential-histogram and summary points, batch or stream.
+
+    State is bounded: nothing is listed. A stream keeps the points themselves with
+    ``distribution_points``; ``with_point_lists`` puts the two written tables together.
     """
-    points = of_type(metrics, *DISTRIBUTION_TYPES)
     if delay:
-        points = points.withWatermark("metric_timestamp", delay)
-    spread = ["metric_timestamp", "_spread"]
-    points = points.withColumns(
-        {
-            "window": F.window("metric_timestamp", size),
-            "_spread": F.xxhash64(F.map_keys("attributes"), F.map_values("attributes"), "histogram_sum", "exp_histogram_sum", "summary_sum"),
-        }
-    )
-    totals = _distribution_totals()
-    if points.isStreaming:
-        points = points.withColumn("part", F.pmod(F.xxhash64(*spread), F.lit(parts)).cast("int"))
-        groups, scalars = [*SERIES, "window"], [c.alias(n) for n, c in totals.items()]
-    else:
-        points = tag_large_groups(points, [*SERIES, "window"], spread, max_points, totals)
-        groups, scalars = ["_key"], whole_or_part(totals)
-    grouped = points.groupBy(*groups, "part").agg(
-        *scalars,
-        F.collect_list("histogram_buckets").alias("histogram_buckets_list"),
-        F.collect_list("exp_histogram_positive_bucket").alias("exp_histogram_positive_bucket_list"),
-        F.collect_list("exp_histogram_negative_bucket").alias("exp_histogram_negative_bucket_list"),
-        F.collect_list("summary_quantiles").alias("summary_quantiles_list"),
-    )
-    if "_key" in grouped.columns:
-        grouped = grouped.select("_key.*", "*")
-    return grouped.select(
-        *SERIES,
-        F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"),
-        "part", "total_count", "total_sum",
-        C.hist_mean(F.col("total_sum"), F.col("total_count")).alias("avg_value"),
-        "min_value", "max_value", "histogram_bounds", "bounds_mismatch", "histogram_buckets_list",
-        "exp_histogram_scale", "exp_histogram_zero_count_sum", "exp_histogram_positive_bucket_list",
-        "exp_histogram_negative_bucket_list", "summary_quantiles_list",
-        C.now(as_of).alias("ingestion_timestamp"),
+        metrics = metrics.withWatermark("metric_timestamp", delay)
+    grouped = gather(_windowed_points(metrics, size), [*SERIES, "window"], _distribution_totals(), {}, 1, [])
+    return _unwindowed(_with_mean(grouped), *_DISTRIBUTION_COLUMNS, as_of=as_of)
+
+
+def distribution_points(metrics: DataFrame, size: str = "1 minute") -> DataFrame:
+    """The points by series, window and time with what they bring to lists: a projection, batch or stream."""
+    points = _windowed_points(metrics, size)
+    return points.select(*SERIES, F.col("window.start").alias("window_start"), "metric_timestamp", "_spread", *POINT_LISTS.values())
+
+
+def _lists() -> dict[str, Column]:
+    return {n: F.collect_list(c) for n, c in POINT_LISTS.items()}
+
+
+def with_point_lists(totals: DataFrame, points: DataFrame, parts: int = 1) -> DataFrame:
+    """Written totals with the lists of their written points: one row per series, window and part."""
+    keys = [*SERIES, "window_start"]
+    lists = gather(points, keys, {}, _lists(), parts, ["metric_timestamp", "_spread"])
+    key = F.struct(*keys).alias("_key")
+    listed = lists.select(key, "part", *POINT_LISTS)
+    others = [c for c in totals.columns if c not in keys]
+    return totals.select(key, *others).join(listed, "_key").select("_key.*", "*").drop("_key")
+
+
+def histogram_rollup(
+    metrics: DataFrame, size: str = "1 minute", parts: int = 1, as_of: Column | None = None
+) -> DataFrame:
+    """Histogram, exponential-histogram and summary points of a batch per series and window.
+
+    The points' buckets and quantiles are kept as lists: ``parts`` rows per group, one by default,
+    each with the totals of the whole group and a share of the lists. Streams keep
+    ``histogram_totals`` and ``distribution_points``. ``bounds_mismatch`` tells that bounds differ
+    inside the group; use ``merge_histograms`` for sums that respect them.
+    """
+    points = _windowed_points(metrics, size)
+    grouped = gather(points, [*SERIES, "window"], _distribution_totals(), _lists(), parts, ["metric_timestamp", "_spread"])
+    return _unwindowed(
+        _with_mean(grouped), "part", "total_count", "total_sum", "avg_value", "min_value", "max_value",
+        "histogram_bounds", "bounds_mismatch", "histogram_buckets_list", "exp_histogram_scale",
+        "exp_histogram_zero_count_sum", "exp_histogram_positive_bucket_list", "exp_histogram_negative_bucket_list",
+        "summary_quantiles_list", as_of=as_of,
     )
 
 
@@ -165,24 +199,36 @@ def histogram_rollup_profile(rollup: DataFrame) -> DataFrame:
 
 
 def rollup_gaps(
-    rollup: DataFrame, start: Column, end: Column, step: str = "1 minute"
+    rollup: DataFrame, start: Column | None = None, end: Column | None = None, step: str = "1 minute"
 ) -> DataFrame:
-    """Windows between ``start`` and ``end`` in which a live series has no row.
+    """Windows between ``start`` and ``end`` in which a live series has no row; without them, of the rollup's own range.
 
-    The spine is one row per series and step; it is generated inside the tasks
-    that hold the series and joined on all three keys.
+    One pass: each series' distinct windows in order tell where it has gaps, and only those are
+    spelled out. A series' windows, not its samples, meet in one task.
     """
-    inside = rollup.filter(F.col("window_start").between(start, end))
-    seen = inside.select("name", "service_name", F.col("window_start").alias("expected_window_start")).distinct()
-    spine = seen.select("name", "service_name").distinct().withColumn(
-        "expected_window_start", F.explode(F.sequence(start, end, F.expr(f"INTERVAL {step}")))
-    )
-    same = (
-        spine["name"].eqNullSafe(seen["name"])
-        & spine["service_name"].eqNullSafe(seen["service_name"])
-        & (spine["expected_window_start"] == seen["expected_window_start"])
+    key = F.struct("name", "service_name").alias("series")
+    seen = rollup.select(key, F.col("window_start").alias("at"))
+    if start is not None:
+        seen = seen.filter(F.col("at") >= start)
+    if end is not None:
+        seen = seen.filter(F.col("at") <= end)
+    seen = seen.groupBy("series", "at").agg(F.lit(1).alias("one")).drop("one")
+    order = Window.partitionBy("series").orderBy("at")
+    span = F.expr(f"INTERVAL {step}")
+    steps = seen.select("series", "at", F.lead("at").over(order).alias("next"), F.lag("at").over(order).alias("before"))
+    # Series that begin late or end early lack the edges of the range: a gap before the first or behind the last window.
+    if start is None or end is None:
+        # The same aggregate again, which Spark runs once.
+        edges = seen.agg(F.struct(F.min("at").alias("lo"), F.max("at").alias("hi"))).scalar()
+        start, end = (edges["lo"] if start is None else start), (edges["hi"] if end is None else end)
+    inner = F.when(F.col("next").isNotNull(), F.struct((F.col("at") + span).alias("lo"), (F.col("next") - span).alias("hi")))
+    head = F.when(F.col("before").isNull(), F.struct(start.alias("lo"), (F.col("at") - span).alias("hi")))
+    tail = F.when(F.col("next").isNull(), F.struct((F.col("at") + span).alias("lo"), end.alias("hi")))
+    gaps = steps.select("series", F.explode(F.array(inner, head, tail)).alias("gap")).filter("gap.lo <= gap.hi")
+    return gaps.select(
+        "series.name", "series.service_name", F.explode(F.sequence("gap.lo", "gap.hi", span)).alias("expected_window_start"),
+        F.lit("MISSING").alias("status"),
     )
-    return spine.join(seen, same, "left_anti").withColumn("status", F.lit("MISSING"))
 
 
 def latest_windows(rollup: DataFrame, k: int = 100) -> DataFrame:

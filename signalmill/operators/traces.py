@@ -6,20 +6,27 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import columns as C
 from ..functions.predicates import children, lookback
-from .skew import tag_large_groups, whole_or_part
+from .gather import Total, gather, total
 
+# The columns of a span in an assembled trace.
 SPAN_DETAIL = ["span_id", "parent_span_id", "name", "kind", "service_name", "duration_ms", "is_error"]
 
 
-def _totals() -> dict[str, Column]:
+def _totals() -> dict[str, Total]:
+    mean = {"_duration_sum": F.sum("duration_ms"), "_duration_count": F.count("duration_ms")}
+    services = {"_services": F.collect_set("service_name")}
     return {
-        "span_count": F.count("*"),
-        "trace_start": F.min("start_timestamp"),
-        "trace_end": F.max("end_timestamp"),
-        "services_involved": F.sort_array(F.collect_set("service_name")),
-        "error_count": F.sum(F.col("is_error").cast("int")),
-        "max_span_duration_ms": F.max("duration_ms"),
-        "avg_span_duration_ms": F.avg("duration_ms"),
+        "span_count": total(F.count("*"), F.sum, "_spans"),
+        "trace_start": total(F.min("start_timestamp"), F.min, "_start"),
+        "trace_end": total(F.max("end_timestamp"), F.max, "_end"),
+        "services_involved": Total(
+            services, lambda over: F.array_sort(F.array_distinct(over(F.collect_list, "_services", F.flatten)))
+        ),
+        "error_count": total(F.sum(F.col("is_error").cast("int")), F.sum, "_errors"),
+        "max_span_duration_ms": total(F.max("duration_ms"), F.max, "_longest"),
+        "avg_span_duration_ms": Total(
+            mean, lambda over: F.try_divide(over(F.sum, "_duration_sum"), over(F.sum, "_duration_count"))
+        ),
     }
 
 
@@ -30,29 +37,49 @@ def _span_list() -> Column:
 def trace_summaries(spans: DataFrame, interval: str | None = None, as_of: Column | None = None) -> DataFrame:
     """One row per trace without its span list: a single, map-side combined aggregate."""
     recent = lookback(spans, "start_timestamp", interval, as_of)
-    return C.trace_derived(recent.groupBy("trace_id").agg(*[c.alias(n) for n, c in _totals().items()]))
+    return C.trace_derived(gather(recent, ["trace_id"], _totals(), {}, 1, []).drop("part"))
+
+
+def trace_totals(spans: DataFrame, size: str = "5 minutes", delay: str | None = "10 minutes") -> DataFrame:
+    """Summaries per trace and start window, batch or stream: state is bounded, nothing is listed.
+
+    The detail of a stream is ``trace_details``, written as it comes; ``with_span_lists`` puts the
+    two written tables together.
+    """
+    if delay:
+        spans = spans.withWatermark("start_timestamp", delay)
+    windowed = spans.withColumn("window", F.window("start_timestamp", size))
+    return C.trace_derived(gather(windowed, ["trace_id", "window"], _totals(), {}, 1, []).drop("part"))
+
+
+def trace_details(spans: DataFrame, size: str = "5 minutes") -> DataFrame:
+    """The spans themselves by trace, window, time and id: a projection, batch or stream."""
+    window = F.window("start_timestamp", size).alias("window")
+    return spans.select("trace_id", window, "start_timestamp", *SPAN_DETAIL)
+
+
+def with_span_lists(totals: DataFrame, details: DataFrame, parts: int = 1) -> DataFrame:
+    """Written totals with the lists of their written spans: one row per trace, window and part."""
+    lists = gather(details, ["trace_id", "window"], {}, {"span_details": _span_list()}, parts, ["span_id", "start_timestamp", "name"])
+    key = F.struct("trace_id", "window").alias("_key")
+    return totals.select(key, *[c for c in totals.columns if c not in ("trace_id", "window")]).join(
+        lists.select(key, "part", "span_details"), "_key"
+    ).select("_key.*", "*").drop("_key")
 
 
 def assemble_traces(
-    spans: DataFrame,
-    interval: str | None = "24 hours",
-    as_of: Column | None = None,
-    max_spans: int = 20_000,
+    spans: DataFrame, interval: str | None = "24 hours", as_of: Column | None = None, parts: int = 1
 ) -> DataFrame:
-    """One row per trace with all its spans as an array of structs.
+    """Traces with all their spans as an array of structs: ``parts`` rows per trace, one by default.
 
-    A trace above ``max_spans`` becomes several rows (``part``), each with the
-    totals of the whole trace and a share of the span list, so that no task or
-    row ever holds an unbounded list. ``interval`` looks at span starts: a
-    trace that straddles the edge is assembled from its recent spans.
+    Each row has the totals of the whole trace and a share of its spans. Where a trace may be too
+    large for a row, use ``trace_summaries`` with the spans themselves, or more ``parts``; the number
+    holds for every trace. ``interval`` looks at span starts: a trace that straddles the edge is
+    assembled from its recent spans.
     """
-    recent = lookback(spans, "start_timestamp", interval, as_of).select(
-        "trace_id", *SPAN_DETAIL, "start_timestamp", "end_timestamp"
-    )
-    totals = _totals()
-    tagged = tag_large_groups(recent, ["trace_id"], ["span_id", "start_timestamp", "name"], max_spans, totals)
-    out = tagged.groupBy("_key", "part").agg(*whole_or_part(totals), _span_list().alias("span_details"))
-    out = C.trace_derived(out.select("_key.*", "*"))
+    recent = lookback(spans, "start_timestamp", interval, as_of)
+    spread = ["span_id", "start_timestamp", "name"]
+    out = C.trace_derived(gather(recent, ["trace_id"], _totals(), {"span_details": _span_list()}, parts, spread))
     return C.stamp(out, as_of=as_of).select(
         "trace_id", "part", "span_count", "trace_start", "trace_end", "total_trace_duration_ms",
         "services_involved", "service_count", "error_count", "has_errors", "max_span_duration_ms",
@@ -61,26 +88,12 @@ def assemble_traces(
 
 
 def assemble_traces_windowed(
-    spans: DataFrame,
-    size: str = "5 minutes",
-    delay: str | None = "10 minutes",
-    parts: int = 1,
-    as_of: Column | None = None,
+    spans: DataFrame, size: str = "5 minutes", parts: int = 1, as_of: Column | None = None
 ) -> DataFrame:
-    """Assembly per trace and start window, for streams.
-
-    A stream cannot size a group beforehand, so the span list of one trace and
-    window is cut into a fixed number of ``parts`` by span id; with more than
-    one, the totals are those of the part.
-    """
-    if delay:
-        spans = spans.withWatermark("start_timestamp", delay)
-    keys = ["trace_id", F.window("start_timestamp", size).alias("window")]
-    if parts > 1:
-        keys.append(F.pmod(F.xxhash64("span_id"), F.lit(parts)).alias("part"))
-    out = spans.groupBy(*keys).agg(
-        *[c.alias(n) for n, c in _totals().items()], _span_list().alias("span_details")
-    )
+    """Assembly per trace and start window of a batch; streams keep ``trace_totals`` and ``trace_details``."""
+    windowed = spans.withColumn("window", F.window("start_timestamp", size))
+    spread = ["span_id", "start_timestamp", "name"]
+    out = gather(windowed, ["trace_id", "window"], _totals(), {"span_details": _span_list()}, parts, spread)
     return C.stamp(C.trace_derived(out), as_of=as_of)
 
 

@@ -46,9 +46,13 @@ def datasets(as_of: Column | None = None) -> Registry:
         "metrics_1min_rollup",
         lambda m: rollups.metrics_rollup(m, "1 minute", late(m, "30 seconds")), ("metrics_silver",), "stream",
     )
+    r.register(
+        "histogram_metrics_1min_totals",
+        lambda m: rollups.histogram_totals(m, "1 minute", late(m, "30 seconds")), ("metrics_silver",), "stream",
+    )
     r.register(
         "histogram_metrics_1min_rollup",
-        lambda m: rollups.histogram_rollup(m, "1 minute", late(m, "30 seconds")), ("metrics_silver",), "stream",
+        lambda m: rollups.histogram_rollup(m, "1 minute", as_of=as_of), ("metrics_silver",),
     )
     r.register(
         "service_health_silver",

@@ -53,7 +53,7 @@ def test_rollup_lists_and_bounds_flag(raw):
 
 def test_hot_series_lists_are_bounded(raw):
     rows = [histogram([1, 1], [5.0], at=i / 100) for i in range(300)] + [histogram([1, 1], [5.0], name="cold")]
-    out = R.histogram_rollup(flat(raw, rows), max_points=50).collect()
+    out = R.histogram_rollup(flat(raw, rows), parts=6).collect()
     hot = [r for r in out if r.name == "h"]
     assert len(hot) == 6 and {r.total_count for r in hot} == {600}
     assert sum(len(r.histogram_buckets_list) for r in hot) == 300 and max(len(r.histogram_buckets_list) for r in hot) < 100
