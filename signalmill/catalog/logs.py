@@ -15,21 +15,19 @@ FLAT_SQL = """event_name, trace_id, span_id, log_timestamp, observed_timestamp,
        body, service_name"""
 
 
-@query("flatten_logs", f"SELECT {FLAT_SQL}, service_version FROM logs", uses=("logs",))
+LOG_KEY_SQL = """md5(concat_ws('||', CAST(epoch_us(observed_timestamp) AS VARCHAR),
+       coalesce(trace_id, ''), coalesce(span_id, ''), coalesce(body, ''))) AS log_key"""
+
+
+@query("flatten_logs", f"SELECT {FLAT_SQL}, service_version, {LOG_KEY_SQL} FROM logs", uses=("logs",))
 def _(spark, d):
     flat = L.flatten_logs(A.raw_logs(spark, d), with_version=True)
-    return flat.drop("log_key", "attributes")
+    return flat.drop("attributes")
 
 
-# The digest is compared over text parts; how a timestamp prints differs by engine.
-@query(
-    "log_key",
-    """SELECT trace_id, span_id, md5(concat_ws('||', CAST(epoch_us(observed_timestamp) AS VARCHAR),
-       coalesce(trace_id, ''), coalesce(span_id, ''), coalesce(body, ''))) AS log_key FROM logs""",
-    uses=("logs",),
-)
+@query("log_key", f"SELECT trace_id, span_id, {LOG_KEY_SQL} FROM logs", uses=("logs",))
 def _(spark, d):
-    key = C.log_key(F.unix_micros("observed_timestamp"), F.col("trace_id"), F.col("span_id"), F.col("body"))
+    key = C.log_key(F.col("observed_timestamp"), F.col("trace_id"), F.col("span_id"), F.col("body"))
     return A.logs(spark, d).select("trace_id", "span_id", key.alias("log_key"))
 
 

@@ -149,16 +149,13 @@ def _(spark, d):
     "rollup_sanity",
     f"""SELECT {SERIES}, window_start, sample_count, round(min_value, 6) AS min_value, round(avg_value, 6) AS avg_value,
        round(max_value, 6) AS max_value, round(sum_value, 6) AS sum_value,
-       CASE WHEN min_value <= round(avg_value, 3) AND round(avg_value, 3) <= max_value THEN 'VALID' ELSE 'INVALID' END AS validation_status
+       CASE WHEN min_value - greatest(abs(min_value), abs(max_value)) * 1e-9 <= avg_value
+             AND avg_value <= max_value + greatest(abs(min_value), abs(max_value)) * 1e-9 THEN 'VALID' ELSE 'INVALID' END AS validation_status
     FROM rollup1""",
     uses=("rollup1",),
 )
 def _(spark, d):
-    # Means carry rounding noise of the summation order; three digits are plenty here.
-    rounded = rollup1(spark, d)
-    checked = Q.rollup_sanity(rounded.withColumn("avg_value", F.round("avg_value", 3)))
-    exact = rounded.select(*["name", "service_name", "metric_type", "window_start"], "avg_value")
-    return checked.drop("avg_value").join(exact, ["name", "service_name", "metric_type", "window_start"])
+    return Q.rollup_sanity(rollup1(spark, d))
 
 
 @query(
@@ -255,22 +252,26 @@ def _(spark, d):
     return Q.distinct_profile(A.spans(spark, d))
 
 
-# JSON text is written alike for these two column types.
+# JSON as Spark writes it: NULL fields are left out, quotes, backslashes and controls escaped.
 @query(
     "row_bytes",
     """SELECT count(*) AS state_rows,
-       CAST(sum(length('{"conv_id":' || conv_id || ',"turn":' || turn || ',"role":"' || role || '"}')) AS BIGINT) AS approx_state_bytes
+       CAST(sum(length('{"conv_id":' || conv_id || ',"turn":' || turn || ',"role":"' || role || '"'
+         || CASE WHEN text IS NULL THEN '' ELSE ',"text":' || to_json(text)::VARCHAR END || '}')) AS BIGINT) AS approx_state_bytes
     FROM conversations""",
 )
 def _(spark, d):
-    return Q.row_bytes(A.table(spark, d, "conversations").select("conv_id", "turn", "role"))
+    return Q.row_bytes(A.table(spark, d, "conversations").select("conv_id", "turn", "role", "text"))
 
 
 @query(
     "profile_table",
     """SELECT count(*) AS row_count, max(log_timestamp) AS latest_record, count(*) - count(event_name) AS event_name_nulls,
        count(*) - count(trace_id) AS trace_id_nulls, count(*) - count(span_id) AS span_id_nulls,
-       CAST(0 AS BIGINT) AS log_timestamp_nulls, CAST(0 AS BIGINT) AS observed_timestamp_nulls FROM logs""",
+       CAST(0 AS BIGINT) AS log_timestamp_nulls, CAST(0 AS BIGINT) AS observed_timestamp_nulls,
+       count(*) - count(severity_number) AS severity_number_nulls, count(*) - count(severity_text) AS severity_text_nulls,
+       count(*) - count(body) AS body_nulls, count(*) - count(service_name) AS service_name_nulls,
+       CAST(0 AS BIGINT) AS attributes_nulls, CAST(0 AS BIGINT) AS ingestion_timestamp_nulls FROM logs""",
     uses=("logs",),
 )
 def _(spark, d):

@@ -23,7 +23,7 @@ SERIES_COLUMNS = """"timestamp", service_name, round(error_rate, 6) AS error_rat
 
 
 def series(spark, d):
-    return S.health_series(hourly_simple(spark, d), None)
+    return S.health_points(hourly_simple(spark, d), None)
 
 
 @query(
@@ -233,7 +233,7 @@ def _(spark, d):
 
 @query(
     "latest_results",
-    """SELECT trace_id, span_id, log_timestamp, severity_text FROM logs ORDER BY log_timestamp DESC LIMIT 10""",
+    """SELECT trace_id, span_id, log_timestamp, severity_text FROM logs ORDER BY log_timestamp DESC, trace_id NULLS FIRST, span_id NULLS FIRST, severity_text NULLS FIRST LIMIT 10""",
     uses=("logs",),
 )
 def _(spark, d):

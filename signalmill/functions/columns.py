@@ -75,8 +75,8 @@ def hist_mean(total: Column, count: Column) -> Column:
 
 
 def log_key(observed: Column, trace_id: Column, span_id: Column, body: Column) -> Column:
-    """Stable digest of a log record; missing parts count as empty text."""
-    parts = [observed.cast("string"), trace_id, span_id, body]
+    """Stable digest of a log record, whatever the session's zone; missing parts count as empty text."""
+    parts = [F.unix_micros(observed).cast("string"), trace_id, span_id, body]
     return F.md5(F.concat_ws("||", *[F.coalesce(p, F.lit("")) for p in parts]))
 
 
@@ -164,7 +164,7 @@ def or_default(value: Column, default: str) -> Column:
 
 def resolve_trace_id() -> Column:
     """trace_id of a log: its own, else from its attributes, else from its resource."""
-    return F.coalesce(blank_to_null(F.col("trace_id")), attr("trace_id"), res_attr("trace_id"))
+    return F.coalesce(*map(blank_to_null, (F.col("trace_id"), attr("trace_id"), res_attr("trace_id"))))
 
 
 def sanitize_health(df: DataFrame) -> DataFrame:

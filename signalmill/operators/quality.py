@@ -148,8 +148,8 @@ def expect(
     if action == "drop":
         return df.filter(good)
     if action == "fail":
-        names = ", ".join(predicates)
-        stop = F.raise_error(F.lit(f"expectation violated: one of {names}")).cast("boolean")
+        broken = F.concat_ws(", ", *[F.when(~_holds(p), F.lit(n)) for n, p in predicates.items()])
+        stop = F.raise_error(F.concat(F.lit("expectation violated: "), broken)).cast("boolean")
         return df.filter(F.when(good, F.lit(True)).otherwise(stop))
     raise ValueError(f"unknown action {action!r}")
 
@@ -188,8 +188,8 @@ def counts_by_type(metrics: DataFrame, ts: str = "metric_timestamp") -> DataFram
 def completeness_by_type(raw: DataFrame, flat: DataFrame) -> DataFrame:
     """Points per type before and after flattening, and the share that arrived."""
     before = raw.groupBy("metric_type").agg(F.count("*").alias("raw_count"))
-    after = flat.groupBy("metric_type").agg(F.count("*").alias("flat_count"))
-    return before.join(after, "metric_type", "left").select(
+    after = flat.groupBy(F.col("metric_type").alias("_type")).agg(F.count("*").alias("flat_count"))
+    return before.join(after, F.col("metric_type").eqNullSafe(F.col("_type")), "left").select(
         "metric_type",
         "raw_count",
         F.coalesce("flat_count", F.lit(0)).alias("flat_count"),
@@ -211,9 +211,10 @@ def histogram_integrity(metrics: DataFrame) -> DataFrame:
     )
 
 
-def rollup_sanity(rollup: DataFrame) -> DataFrame:
-    """min <= avg <= max for every rollup row with samples."""
-    ok = (F.col("min_value") <= F.col("avg_value")) & (F.col("avg_value") <= F.col("max_value"))
+def rollup_sanity(rollup: DataFrame, tolerance: float = 1e-9) -> DataFrame:
+    """min <= avg <= max for every rollup row with samples, but for the rounding of the mean (relative ``tolerance``)."""
+    slack = F.greatest(F.abs("min_value"), F.abs("max_value")) * tolerance
+    ok = (F.col("min_value") - slack <= F.col("avg_value")) & (F.col("avg_value") <= F.col("max_value") + slack)
     return rollup.filter("sample_count > 0").select(
         "name", "service_name", "metric_type", "window_start", "sample_count", "min_value", "avg_value",
         "max_value", "sum_value", F.when(ok, "VALID").otherwise("INVALID").alias("validation_status"),
@@ -296,16 +297,18 @@ def metric_type_coverage(rollup: DataFrame, histogram_rollup: DataFrame) -> Data
 def coverage_report(raw: DataFrame, flat: DataFrame) -> DataFrame:
     """Metric names covered by number types alone against those in the flat table."""
     kind = F.col("metric_type")
-    numbers = F.countDistinct(F.when(kind.isin(*NUMBER_TYPES), F.col("name")))
-    others = F.countDistinct(F.when(kind.isin(*DISTRIBUTION_TYPES), F.col("name")))
-    names = F.countDistinct("name")
-    before = raw.agg(numbers.alias("a"), others.alias("b"), names.alias("c")).select(
+    # One row per name first: several distinct counts over the raw rows would multiply them.
+    by_name = raw.groupBy("name").agg(
+        F.max(kind.isin(*NUMBER_TYPES)).alias("number"), F.max(kind.isin(*DISTRIBUTION_TYPES)).alias("other")
+    )
+    counts = by_name.agg(F.count_if("number").alias("a"), F.count_if("other").alias("b"), F.count("name").alias("c"))
+    before = counts.select(
         F.lit("numbers only").alias("coverage"),
         F.col("a").alias("processed_metrics"),
         F.col("b").alias("dropped_metrics"),
         F.round(F.try_divide(F.col("a") * F.lit(100.0), F.col("c")), 2).alias("coverage_pct"),
     )
-    after = flat.agg(names.alias("a")).select(
+    after = flat.agg(F.countDistinct("name").alias("a")).select(
         F.lit("all types").alias("coverage"),
         F.col("a").alias("processed_metrics"),
         F.lit(0).cast("bigint").alias("dropped_metrics"),
@@ -315,10 +318,14 @@ def coverage_report(raw: DataFrame, flat: DataFrame) -> DataFrame:
 
 
 def distinct_profile(spans: DataFrame) -> DataFrame:
-    return spans.agg(
-        F.count("*").alias("total_spans"),
-        F.min("start_timestamp").alias("earliest_span"),
-        F.max("start_timestamp").alias("latest_span"),
+    # One row per service and trace first: two distinct counts over the spans would double them.
+    pairs = spans.groupBy("service_name", "trace_id").agg(
+        F.count("*").alias("n"), F.min("start_timestamp").alias("lo"), F.max("start_timestamp").alias("hi")
+    )
+    return pairs.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_spans"),
+        F.min("lo").alias("earliest_span"),
+        F.max("hi").alias("latest_span"),
         F.countDistinct("service_name").alias("unique_services"),
         F.countDistinct("trace_id").alias("unique_traces"),
     )
@@ -332,8 +339,8 @@ def row_bytes(df: DataFrame) -> DataFrame:
     )
 
 
-def profile_table(df: DataFrame, ts: str | None = None, columns: int = 5) -> DataFrame:
-    """Row count, latest time and NULLs of the first columns."""
+def profile_table(df: DataFrame, ts: str | None = None, columns: int | None = None) -> DataFrame:
+    """Row count, latest time and NULLs of all columns, or of the first ones on request."""
     stats = [F.count("*").alias("row_count")]
     if ts:
         stats.append(F.max(ts).alias("latest_record"))

@@ -10,8 +10,8 @@ from ..functions import columns as C
 from ..functions.predicates import lookback
 
 
-def health_series(hourly: DataFrame, hours: int | None = 12, as_of: Column | None = None) -> DataFrame:
-    """Recent hourly health, newest first."""
+def health_points(hourly: DataFrame, hours: int | None = 12, as_of: Column | None = None) -> DataFrame:
+    """Recent hourly health, in no order: what further reports start from."""
     recent = lookback(hourly, "hour", f"{hours} HOURS" if hours is not None else None, as_of)
     return recent.select(
         F.col("hour").alias("timestamp"),
@@ -20,7 +20,12 @@ def health_series(hourly: DataFrame, hours: int | None = 12, as_of: Column | Non
         F.col("avg_p95_latency_ms").alias("p95_latency_ms"),
         F.col("max_p95_latency_ms").alias("p99_latency_ms"),
         "total_requests",
-    ).orderBy(F.desc("timestamp"), "service_name")
+    )
+
+
+def health_series(hourly: DataFrame, hours: int | None = 12, as_of: Column | None = None) -> DataFrame:
+    """Recent hourly health, newest first."""
+    return health_points(hourly, hours, as_of).orderBy(F.desc("timestamp"), "service_name")
 
 
 def route_summary(
@@ -76,11 +81,11 @@ def p95_series(series: DataFrame) -> DataFrame:
 def share_by(df: DataFrame, column: Column, name: str, count: str) -> DataFrame:
     """Sum and share of the total per value.
 
-    The total is a scalar subquery, so a high-cardinality column is not
-    gathered into one task.
+    The total is a scalar subquery over the sums, whose shuffle Spark uses
+    again, so a high-cardinality column is not gathered into one task.
     """
-    total = df.agg(F.sum(count)).scalar()
     summed = df.groupBy(column.alias(name)).agg(F.sum(count).alias(count))
+    total = summed.agg(F.sum(count)).scalar()
     return summed.withColumn("share", F.try_divide(F.col(count), total))
 
 
@@ -167,8 +172,12 @@ def trace_lookup(traces: DataFrame, trace_id: str) -> DataFrame:
     return traces.filter(F.col("trace_id") == trace_id)
 
 
-def latest_results(results: DataFrame, k: int = 10, ts: str = "validation_timestamp") -> DataFrame:
-    return results.orderBy(F.desc(ts)).limit(k)
+def latest_results(
+    results: DataFrame, k: int = 10, ts: str = "validation_timestamp", ties: tuple[str, ...] = ()
+) -> DataFrame:
+    """The ``k`` newest rows; ``ties`` orders those of one time. Without it, all columns that can be ordered do."""
+    ordered = ties or tuple(f.name for f in results.schema.fields if f.name != ts and "map<" not in f.dataType.simpleString())
+    return results.orderBy(F.desc(ts), *[F.col(f"`{c}`") for c in ordered]).limit(k)
 
 
 def sample(df: DataFrame, n: int = 10) -> DataFrame:
