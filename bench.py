@@ -24,7 +24,7 @@ HEADLINE = [
     "merge_histograms", "histogram_quantile", "merge_exp_histograms", "summary_quantiles",
     "anomaly_baselines", "detect_anomalies", "validate_trace_completeness", "validate_cross_signal",
     "ingest_lag", "window_gaps", "rollup_gaps", "route_summary", "multi_resolution",
-    "stream_service_health", "stream_dedup", "stream_metrics_rollup",
+    "stream_service_health", "stream_dedup", "stream_metrics_rollup", "trace_spans", "trace_lookup", "body_matches",
 ]
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import MapType
 
 
 def attribute_key(attributes: Column) -> Column:
@@ -10,6 +11,21 @@ def attribute_key(attributes: Column) -> Column:
     return F.sort_array(F.map_entries(attributes))
 
 
+def row_order(df: DataFrame, newest: str = "ingestion_timestamp") -> list[Column]:
+    """An order of copies that depends on their content alone: the newest first, then by a hash of the row."""
+    parts = []
+    for f in df.schema.fields:
+        kind, column = f.dataType.simpleString(), F.col(f"`{f.name}`")
+        if isinstance(f.dataType, MapType) and kind.count("map<") == 1:
+            parts.append(attribute_key(column))
+        elif "map<" in kind:
+            parts.append(F.to_json(column))
+        elif f.name != newest:
+            parts.append(column)
+    first = [F.desc(newest)] if newest in df.columns else []
+    return [*first, F.xxhash64(*parts)]
+
+
 def dedup(
     df: DataFrame,
     keys: list[str],
@@ -19,9 +35,10 @@ def dedup(
 ) -> DataFrame:
     """One row per key.
 
-    Batch: which copy survives is free unless ``order_by`` ranks them. Either
-    way each task first reduces its own copies to one row, so a key repeated
-    in a third of the table sends one row per task through the shuffle.
+    Batch: the first copy by ``order_by`` survives, by default that of
+    ``row_order``, so a retry or a rerun keeps the same one. Each task first
+    reduces its own copies to one row, so a key repeated in a third of the
+    table sends one row per task through the shuffle.
 
     Stream: ``watermark`` is (event-time column, delay). With the event time
     among the keys, state is dropped behind the watermark; otherwise pass
@@ -30,9 +47,9 @@ def dedup(
     if watermark is not None:
         df = df.withWatermark(*watermark)
         return df.dropDuplicatesWithinWatermark(keys) if within else df.dropDuplicates(keys)
-    if order_by is None:
+    if set(keys) == set(df.columns):
         return df.dropDuplicates(keys)
-    return latest_per_key(df, keys, order_by)
+    return latest_per_key(df, keys, row_order(df) if order_by is None else order_by)
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order_by: list[Column]) -> DataFrame:

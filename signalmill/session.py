@@ -22,6 +22,9 @@ RUNTIME_SETTINGS = {
     # (metric flattening) reach that when fused into one method; let Spark run
     # such stages as several compiled steps instead: 2 to 4 times faster.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Percentiles and lists of up to this many groups a task are hashed; the default of
+    # 128 sorts almost every rollup.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
 }
 
 
