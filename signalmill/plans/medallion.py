@@ -5,50 +5,69 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from ..operators import anomaly, dependencies, health, logs, metrics, rollups, spans, traces
 from ..operators.dedup import dedup
 from ..schemas import ddl
 from ..sinks.tables import write_table
 from ..sources import SourceConfig, read_stream, read_table
+from ..sources.tables import is_path
 from ..streaming import run_stream
 from .registry import Registry
 
 RAW = {"otel_spans": "spans", "otel_logs": "logs", "otel_metrics": "metrics"}
 
 
-def datasets(as_of: Column | None = None) -> Registry:
-    """All datasets. Stream datasets read what was written before them, never a running query."""
+# How long each stream dataset waits for late rows; None keeps every row and all state.
+DELAYS: dict[str, str | None] = {
+    "traces_silver": "10 minutes", "logs_silver": "10 minutes", "metrics_silver": "2 minutes",
+    "metrics_1min_rollup": "30 seconds", "histogram_metrics_1min_totals": "30 seconds", "service_health_silver": "5 minutes",
+}
+
+
+def datasets(as_of: Column | None = None, delays: dict[str, str | None] | None = None) -> Registry:
+    """All datasets. ``delays`` replaces single entries of ``DELAYS``.
+
+    Rows that come later than that are dropped from a stream dataset; a batch
+    build over the raw tables has them all.
+    """
     r = Registry()
+    wait = {**DELAYS, **(delays or {})}
 
     def flat_spans(raw: DataFrame) -> DataFrame:
         flat = spans.flatten_spans(raw)
-        if flat.isStreaming:
-            return dedup(flat, ["trace_id", "span_id"], ("start_timestamp", "10 minutes"), within=True)
-        return dedup(flat, ["trace_id", "span_id"])
+        keys, delay = ["trace_id", "span_id"], wait["traces_silver"]
+        if not flat.isStreaming:
+            return dedup(flat, keys)
+        return dedup(flat, keys, ("start_timestamp", delay), within=True) if delay else flat.dropDuplicates(keys)
 
     def flat_logs(raw: DataFrame) -> DataFrame:
         flat = logs.flatten_logs(raw)
-        watermark = ("observed_timestamp", "10 minutes") if flat.isStreaming else None
-        return dedup(flat, logs.DEDUP_KEYS, watermark)
+        delay = wait["logs_silver"]
+        if not flat.isStreaming:
+            return dedup(flat, logs.DEDUP_KEYS)
+        return dedup(flat, logs.DEDUP_KEYS, ("observed_timestamp", delay)) if delay else flat.dropDuplicates(logs.DEDUP_KEYS)
 
     def flat_metrics(raw: DataFrame) -> DataFrame:
         flat = metrics.flatten_metrics(raw)
-        return metrics.dedup_metrics(flat, "2 minutes" if flat.isStreaming else None)
+        return metrics.dedup_metrics(flat, late(flat, "metrics_silver"))
 
-    def late(df: DataFrame, delay: str) -> str | None:
-        return delay if df.isStreaming else None
+    def late(df: DataFrame, name: str) -> str | None:
+        if df.isStreaming and wait[name] is None:
+            raise ValueError(f"{name} needs a delay: its windows close by it")
+        return wait[name] if df.isStreaming else None
 
     r.register("traces_silver", flat_spans, ("otel_spans",), "stream")
     r.register("logs_silver", flat_logs, ("otel_logs",), "stream")
     r.register("metrics_silver", flat_metrics, ("otel_metrics",), "stream")
     r.register(
         "metrics_1min_rollup",
-        lambda m: rollups.metrics_rollup(m, "1 minute", late(m, "30 seconds")), ("metrics_silver",), "stream",
+        lambda m: rollups.metrics_rollup(m, "1 minute", late(m, "metrics_1min_rollup")), ("metrics_silver",), "stream",
     )
     r.register(
         "histogram_metrics_1min_totals",
-        lambda m: rollups.histogram_totals(m, "1 minute", late(m, "30 seconds")), ("metrics_silver",), "stream",
+        lambda m: rollups.histogram_totals(m, "1 minute", late(m, "histogram_metrics_1min_totals")), ("metrics_silver",), "stream",
     )
     r.register(
         "histogram_metrics_1min_rollup",
@@ -56,7 +75,7 @@ def datasets(as_of: Column | None = None) -> Registry:
     )
     r.register(
         "service_health_silver",
-        lambda s: health.service_health(s, "1 minute", late(s, "5 minutes")), ("traces_silver",), "stream",
+        lambda s: health.service_health(s, "1 minute", late(s, "service_health_silver")), ("traces_silver",), "stream",
     )
     r.register("traces_assembled", lambda s: traces.assemble_traces(s, as_of=as_of), ("traces_silver",))
     r.register("service_health_5min", lambda s: health.service_health_5min(s, as_of=as_of), ("traces_silver",))
@@ -79,30 +98,43 @@ def build(
     names: Iterable[str] | None = None,
     as_of: Column | None = None,
     trigger: str = "availableNow",
+    delays: dict[str, str | None] | None = None,
+    checkpoints: str | None = None,
 ) -> list[str]:
     """Bring datasets up to date in order, each from the written form of what it reads.
 
     Stream datasets append what is new since their checkpoint; batch datasets
-    are recomputed. ``config.root`` is the folder the tables and checkpoints
-    live in.
+    are recomputed. Tables lie below ``config.root`` or, without it, in the
+    catalog that ``config`` names; stream checkpoints then need a folder of
+    their own. With a processing-time ``trigger`` stream datasets run on, as
+    queries of their names, and each has taken what there is before the next starts.
     """
-    if config.root is None:
-        raise ValueError("the build writes below config.root")
-    registry = datasets(as_of)
+    if checkpoints is None:
+        if config.root is None:
+            raise ValueError("a build into catalog tables needs a folder for checkpoints")
+        checkpoints = f"{config.root}/_checkpoints"
+    registry = datasets(as_of, delays)
     wanted = list(registry.datasets) if names is None else list(names)
+    schemas: dict[str, StructType] = {}
+
+    def place(name: str) -> str:
+        return config.raw(RAW[name]) if name in RAW else config.table(name)
+
+    def schema_of(name: str) -> StructType | str:
+        return ddl(RAW[name]) if name in RAW else schemas.get(name) or read_table(spark, place(name)).schema
+
     for name in wanted:
-        entry = registry.datasets[name]
-        paths = {r: f"{config.root}/{r}" for r in entry.reads}
+        entry, target = registry.datasets[name], place(name)
         if entry.kind == "stream":
-            inputs = {
-                r: read_stream(spark, p, ddl(RAW[r]) if r in RAW else spark.read.parquet(p).schema)
-                for r, p in paths.items()
-            }
-            out = entry.make(*[inputs[r] for r in entry.reads])
-            query = run_stream(out, f"{config.root}/{name}", f"{config.root}/_checkpoints/{name}", trigger, name=name)
+            out = entry.make(*[read_stream(spark, place(r), schema_of(r)) for r in entry.reads])
+            query = run_stream(out, target, f"{checkpoints}/{name}", trigger, name=name)
+            schemas[name] = out.schema
             if trigger == "availableNow":
                 query.awaitTermination()
+            else:
+                query.processAllAvailable()
         else:
-            frames = [read_table(spark, paths[r], ddl(RAW[r]) if r in RAW else None) for r in entry.reads]
-            write_table(entry.make(*frames), f"{config.root}/{name}")
+            out = entry.make(*[read_table(spark, place(r), schema_of(r) if r in RAW or is_path(place(r)) else None) for r in entry.reads])
+            write_table(out, target)
+            schemas[name] = out.schema
     return wanted

@@ -203,3 +203,36 @@ def test_build_runs_every_dataset_and_again(spark, tmp_path, raw):
     assert counts["metrics_1min_rollup"] >= 8 and counts["histogram_metrics_1min_rollup"] >= 8 and counts["service_health_silver"] > 10
     build(spark, config, as_of=as_of)
     assert {n: read_table(spark, f"{root}/{n}").count() for n in done} == counts
+
+
+def test_build_runs_on_and_restarts(spark, tmp_path, raw):
+    root = str(tmp_path / "lake")
+    raw("metrics", [gauge(float(i), i * 30.0) for i in range(20)]).write.parquet(f"{root}/otel_metrics")
+    names = ["metrics_silver", "metrics_1min_rollup"]
+    build(spark, SourceConfig(root=root), names, trigger="1 second")
+    running = {q.name: q for q in spark.streams.active if q.name in names}
+    assert set(running) == set(names)
+    raw("metrics", [gauge(1.0, 1200.0)]).write.mode("append").parquet(f"{root}/otel_metrics")
+    for name in names:
+        running[name].processAllAvailable()
+    for q in running.values():
+        q.stop()
+    assert read_table(spark, f"{root}/metrics_silver").count() == 21
+    # A restart goes on from the checkpoint and repeats nothing.
+    raw("metrics", [gauge(1.0, 2400.0), gauge(1.0, 2400.0)]).write.mode("append").parquet(f"{root}/otel_metrics")
+    build(spark, SourceConfig(root=root), names)
+    assert read_table(spark, f"{root}/metrics_silver").count() == 22
+    windows = read_table(spark, f"{root}/metrics_1min_rollup")
+    assert windows.count() == windows.select("window_start").distinct().count() >= 11
+
+
+def test_delays_are_the_callers(spark, tmp_path, raw):
+    root = str(tmp_path / "lake")
+    raw("spans", [span(start=7200.0)]).coalesce(1).write.parquet(f"{root}/otel_spans")
+    config = SourceConfig(root=root)
+    build(spark, config, ["traces_silver"], delays={"traces_silver": None})
+    raw("spans", [span(span_id="late", start=0.0)]).write.mode("append").parquet(f"{root}/otel_spans")
+    build(spark, config, ["traces_silver"], delays={"traces_silver": None})
+    assert {r.span_id for r in read_table(spark, f"{root}/traces_silver").collect()} == {"a", "late"}
+    with pytest.raises(ValueError):
+        build(spark, SourceConfig(), ["traces_silver"])
