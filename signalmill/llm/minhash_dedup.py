@@ -9,8 +9,8 @@ have their whole sequence. Documents are linked if the Jaccard coefficient of th
   of 2e-10.
 * The minima of 1024 parts of the hash range are folded into a parity bitmap, the odd sketch. The
   bits in which two sketches differ tell how many minima differ, the more precisely the more alike
-  the sets are; pairs MARGIN below the wanted likeness go on.
-* What goes on is counted on the full sets.
+  the sets are. Pairs go on unless they are CERTAIN standard deviations below the wanted likeness.
+* What goes on is counted on the full sets, which go once to each tile of pairs.
 
 Links are looked for where they can still join something. First, each set is compared with one
 member of each of its buckets (by random priority), and its best three are confirmed. Buckets that
@@ -38,8 +38,9 @@ from .words import as_bytes, chunks, mix, sequence_codes, word_codes
 
 WIDTH = 5
 BANDS, ROWS = 30, 4
+PARTS = 1024
 SKETCH_BITS = 1024
-MARGIN = 0.08
+CERTAIN = 5.0
 TILE = 20_000
 
 _rng = np.random.Generator(np.random.PCG64(85))
@@ -76,21 +77,30 @@ def band_keys(value: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 def odd_sketches(row: np.ndarray, value: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
     """Parity bitmaps of the least codes in 1024 parts of the hash range (codes in order), and how many parts have one."""
-    part = value >> np.uint64(54)
+    part = value // np.uint64(2**64 // PARTS)
     first = run_starts(row, part)
     bit = (mix(value[first]) & np.uint64(SKETCH_BITS - 1)).astype(np.int64)
     held = np.bincount(row[first] * SKETCH_BITS + bit, minlength=rows * SKETCH_BITS) & 1
     return np.packbits(held.reshape(rows, SKETCH_BITS).astype(bool), axis=1), np.bincount(row[first], minlength=rows)
 
 
-def estimate(different: np.ndarray, minima_a, minima_b, size_a, size_b, percent: int) -> np.ndarray:
-    """Likeness by the number of bits in which two sketches differ; meant for pairs near ``percent``."""
-    x = np.minimum(different / SKETCH_BITS, 0.499)
-    apart = -SKETCH_BITS / 2 * np.log1p(-2 * x)
-    equal = np.maximum(minima_a + minima_b - apart, 0) / 2
-    union = (size_a + size_b) / (1 + percent / 100)
-    parts = 1024 * -np.expm1(-union / 1024)
-    return equal / np.maximum(parts, 1)
+def estimate(different: np.ndarray, minima_a, minima_b) -> tuple[np.ndarray, np.ndarray]:
+    """Likeness by the number of bits in which two sketches differ, and how far off that may be (CERTAIN deviations)."""
+    m = SKETCH_BITS
+    x = np.minimum(different / m, 0.499)
+    apart = -m / 2 * np.log1p(-2 * x)
+    equal = np.clip((minima_a + minima_b - apart) / 2, 0, np.minimum(minima_a, minima_b))
+    only_a, only_b = minima_a - equal, minima_b - equal
+    # Parts in which both have a minimum, but not the same.
+    clash = (only_a * minima_b + only_b * minima_a) / (2 * PARTS)
+    union = np.maximum(equal + only_a + only_b - clash, 1)
+    full = 4 * apart / m
+    bits = np.exp(full / 2) * np.sqrt(m / 4 * np.maximum(1 - np.exp(-full) * (1 + full), 0))
+    # Sets with few codes for a part are in the sketch almost whole; others are sampled by their minima.
+    left_out = 1 - union / np.maximum(-PARTS * np.log1p(-np.minimum(union / PARTS, 0.999)), 1)
+    like = equal / union
+    sampling = like * (1 - like) / union * np.maximum(left_out, 0.02)
+    return like, CERTAIN * np.sqrt((0.8 * bits / union) ** 2 + sampling) + 0.01
 
 
 def popcount(x: np.ndarray) -> np.ndarray:
@@ -148,41 +158,69 @@ def _bucket_rows(sets: DataFrame, *more: str) -> DataFrame:
 
 
 def _with_sketches(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs a, b with their estimated likeness, those that are too far below ``percent`` left out."""
+    """Pairs a, b with their estimated likeness, without those that are surely below ``percent``."""
     for side in ("a", "b"):
-        own = sets.select(F.col("id").alias(side), F.struct("n", "minima", "sketch").alias(f"s_{side}"))
+        own = sets.select(F.col("id").alias(side), F.struct("minima", "sketch").alias(f"s_{side}"))
         pairs = pairs.join(own, side)
     flat = pairs.select(
-        "a", "b", *(F.col(f"s_{s}")[c].alias(f"{c}_{s}") for s in ("a", "b") for c in ("n", "minima", "sketch"))
+        "a", "b", *(F.col(f"s_{s}")[c].alias(f"{c}_{s}") for s in ("a", "b") for c in ("minima", "sketch"))
     )
 
     def run(batches: Iterator[pd.DataFrame]):
         for batch in batches:
             x, y = (np.frombuffer(b"".join(batch[f"sketch_{s}"]), np.uint64).reshape(len(batch), -1) for s in ("a", "b"))
-            like = estimate(popcount(x ^ y), *(batch[c].to_numpy() for c in ("minima_a", "minima_b", "n_a", "n_b")), percent)
+            like, off = estimate(popcount(x ^ y), batch["minima_a"].to_numpy(), batch["minima_b"].to_numpy())
             out = pd.DataFrame({"a": batch["a"], "b": batch["b"], "like": like})
-            yield out[like >= percent / 100 - MARGIN]
+            yield out[like + off >= percent / 100]
 
     return flat.mapInPandas(run, "a bigint, b bigint, like double")
 
 
+def enough(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sets of codes are alike enough, counted in full."""
+    small, large = sorted((len(a), len(b)))
+    if 100 * small < percent * large:
+        return False
+    both = np.concatenate((a, b))
+    both.sort()
+    shared = int(np.count_nonzero(both[1:] == both[:-1]))
+    return 100 * shared >= percent * (small + large - shared)
+
+
+_PAIRS = "tile bigint, cell binary"
+
+
+def _packed(tile: int, pairs: np.ndarray) -> pd.DataFrame:
+    """One row for a tile's distinct pairs, the smaller id of each first."""
+    pairs = np.unique(np.sort(pairs, axis=1), axis=0)
+    return pd.DataFrame({"tile": [tile], "cell": [pack(pairs[:, 0].copy(), pairs[:, 1].copy())]} if len(pairs) else {"tile": [], "cell": []})
+
+
 def _confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets are alike enough. ``full``: id, cell."""
-    for side in ("a", "b"):
-        pairs = pairs.join(full.select(F.col("id").alias(side), F.col("cell").alias(f"cell_{side}")), side)
+    """The packed pairs whose full sets are alike enough: a, b. ``full``: id, cell.
 
-    def run(batches: Iterator[pd.DataFrame]):
+    A tile's pairs are counted together, so a set goes once to each tile and not with every pair.
+    """
+    pairs = stored(pairs, "minhash-open")
+
+    def ids(batches: Iterator[pd.DataFrame]):
         for batch in batches:
-            keep = []
-            for x, y in zip(batch["cell_a"], batch["cell_b"]):
-                a, b = unpack(x, np.uint64)[0], unpack(y, np.uint64)[0]
-                both = np.concatenate((a, b))
-                both.sort()
-                shared = int(np.count_nonzero(both[1:] == both[:-1]))
-                keep.append(100 * shared >= percent * (len(a) + len(b) - shared))
-            yield batch.loc[np.array(keep, bool), ["a", "b"]]
+            for tile, cell in zip(batch["tile"], batch["cell"]):
+                found = np.unique(np.concatenate(unpack(cell, np.int64, np.int64)))
+                yield pd.DataFrame({"in_tile": tile, "id": found})
+
+    sets = pairs.mapInPandas(ids, "in_tile bigint, id bigint").join(full, "id").select("in_tile", "id", "cell")
+
+    def count(own: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        held = {i: unpack(c, np.uint64)[0] for i, c in zip(own["id"], own["cell"])}
+        out = []
+        for cell in asked["cell"]:
+            a, b = unpack(cell, np.int64, np.int64)
+            keep = np.array([enough(held[x], held[y], percent) for x, y in zip(a.tolist(), b.tolist())], bool)
+            out.append(pd.DataFrame({"a": a[keep], "b": b[keep]}))
+        return pd.concat(out) if out else pd.DataFrame({"a": [], "b": []})
 
-    return pairs.select("a", "b", "cell_a", "cell_b").mapInPandas(run, "a bigint, b bigint")
+    return sets.groupBy("in_tile").cogroup(pairs.groupBy("tile")).applyInPandas(count, "a bigint, b bigint")
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -202,22 +240,22 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
 
 def _open_pairs(sets: DataFrame, labels: DataFrame, percent: int, best: bool) -> DataFrame:
-    """Pairs of sets that share a bucket but not a component and look alike: a, b. ``best``: for each set and bucket the best one only."""
+    """Pairs of sets that share a bucket but not a component and look alike, packed by tile. ``best``: for each set and bucket the best one only."""
     parts = buckets(sets.sparkSession)
     labelled = sets.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
     rows = _bucket_rows(labelled, "component")
     mixed = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"))
     mixed = mixed.filter("lo != hi").select("key", F.ceil(F.col("size") / TILE).alias("tiles"))
-    rows = rows.join(mixed, "key").join(sets.select("id", "n", "minima", "sketch"), "id")
+    rows = rows.join(mixed, "key").join(sets.select("id", "minima", "sketch"), "id")
     mine = F.pmod(F.xxhash64("id"), F.col("tiles"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tiles") - 1)))
     rows = rows.withColumn("cell", F.xxhash64("key", F.least(mine, F.col("other")), F.greatest(mine, F.col("other"))))
-    rows = rows.withColumn("bucket", F.pmod("cell", F.lit(parts))).select("bucket", "cell", "id", "component", "n", "minima", "sketch")
+    rows = rows.withColumn("tile", F.pmod("cell", F.lit(parts))).select("tile", "cell", "id", "component", "minima", "sketch")
 
     def look(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["cell", "id"], kind="stable")
         sketch = np.frombuffer(b"".join(group["sketch"]), np.uint64).reshape(len(group), -1)
-        cell, ids, part, n, minima = (group[c].to_numpy() for c in ("cell", "id", "component", "n", "minima"))
+        cell, ids, part, minima = (group[c].to_numpy() for c in ("cell", "id", "component", "minima"))
         starts = run_starts(cell)
         out = []
         for s, e in zip(starts, np.append(starts[1:], len(cell))):
@@ -227,22 +265,19 @@ def _open_pairs(sets: DataFrame, labels: DataFrame, percent: int, best: bool) ->
             step = max(1, 2_000_000 // (e - s))
             for i in range(0, len(seekers), step):
                 q = seekers[i : i + step]
-                like = estimate(
-                    popcount(sketch[q][:, None] ^ sketch[s:e][None]), minima[q][:, None], minima[s:e][None], n[q][:, None], n[s:e][None], percent
-                )
+                like, off = estimate(popcount(sketch[q][:, None] ^ sketch[s:e][None]), minima[q][:, None], minima[s:e][None])
+                like[like + off < percent / 100] = -1
                 like[part[q][:, None] == part[s:e][None]] = -1
                 if best:
                     x, y = np.arange(len(q)), like.argmax(axis=1)
-                    good = like[x, y] >= percent / 100 - MARGIN
+                    good = like[x, y] >= 0
                     x, y = x[good], y[good]
                 else:
-                    x, y = np.nonzero(like >= percent / 100 - MARGIN)
+                    x, y = np.nonzero(like >= 0)
                 out.append(np.column_stack([ids[q[x]], ids[s + y]]))
-        found = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-        found = np.unique(np.sort(found, axis=1), axis=0)
-        return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
+        return _packed(int(group["tile"].iloc[0]), np.concatenate(out) if out else np.zeros((0, 2), np.int64))
 
-    return rows.groupBy("bucket").applyInPandas(look, "a bigint, b bigint").distinct()
+    return rows.groupBy("tile").applyInPandas(look, _PAIRS)
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, width: int = WIDTH) -> DataFrame:
@@ -263,7 +298,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = WIDTH) -> D
 
     alike = _with_sketches(together.filter("a != b"), sets, percent)
     ranked = alike.withColumn("i", F.row_number().over(W.partitionBy("a").orderBy(F.desc("like"), "b"))).filter("i <= 3")
-    links = stored(_confirmed(ranked.select("a", "b"), full, percent), "minhash-links")
+    tile = F.pmod(F.xxhash64("b"), F.lit(buckets(docs.sparkSession))).alias("tile")
+    first = ranked.select(tile, "a", "b").groupBy("tile").applyInPandas(lambda g: _packed(int(g["tile"].iloc[0]), g[["a", "b"]].to_numpy()), _PAIRS)
+    links = stored(_confirmed(first, full, percent), "minhash-links")
     labels = components(links)
     for best in (True, False):
         more = _confirmed(_open_pairs(sets, labels, percent, best), full, percent)
