@@ -35,11 +35,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 SMALL_ROWS = 1_000_000  # of a few numbers each: what a join may send to all tasks
 
 
+def is_small(df: DataFrame) -> bool:
+    return df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS
+
+
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
     """A join that leaves the texts of ``big`` where they are if ``small`` is counted to be small, else by shuffle."""
-    if small.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS:
-        small = F.broadcast(small)
-    return big.join(small, on, how)
+    return big.join(F.broadcast(small) if is_small(small) else small, on, how)
 
 
 def kinds_of(df: DataFrame, names) -> str:

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from helpers_llm import frame, words
-from signalmill.llm import catalog, langid, quality, toxicity
+from signalmill.llm import catalog, langid, packed, quality, toxicity
 
 SF_DIR = "/root/testdata/sf0.1"
 tables = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
@@ -72,6 +72,14 @@ def test_scores_of_awkward_texts(spark, awkward, nothing, module, label):
     assert high > np.mean([seen[i] for i in truth if truth[i] == 0]) + 0.3
 
 
+def test_many_labels_give_the_same_models(spark, monkeypatch):
+    docs, labels = learned(spark)
+    few = toxicity.train(docs, labels)
+    monkeypatch.setattr(packed, "SMALL_ROWS", 0)
+    many = toxicity.train(docs, labels)
+    assert np.array_equal(few.lower, many.lower) and np.allclose(few.curve, many.curve)
+
+
 @pytest.mark.parametrize("module, label, value", [(toxicity, "toxic", 0.0), (quality, "quality", 0.5)])
 def test_without_labels(spark, awkward, module, label, value):
     none = spark.createDataFrame([], f"doc_id bigint, {label} int")
