@@ -126,6 +126,31 @@ def test_equal_values_stay_linked_and_keys_differ(spark):
     assert other != a
 
 
+def test_values_beside_other_numbers(spark):
+    phone, card, address = "+1 (826) 555-4081", "4111 1111 1111 1111", "190.137.223.204"
+    (p, _, _), (c, _, _), (a, _, _) = changed(spark, phone, card, address)
+    assert len({p, c, a, phone, card, address}) == 6
+    flat = p.translate(str.maketrans("", "", " ()-"))
+    expected = {
+        f"{phone} {address}": (f"{p} {a}", 2), f"{phone} 2024": (f"{p} 2024", 1), f"{phone} 17 x": (f"{p} 17 x", 1),
+        f"{phone} {card}": (f"{p} {c}", 2), "+18265554081": (flat, 1), "+18265554081 2024": (f"{flat} 2024", 1),
+        "+1826-555-4081": (f"{flat[:5]}-{flat[5:8]}-{flat[8:]}", 1),
+        f"{card} 123": (f"{c} 123", 1), f"12 {card}": (f"12 {c}", 1), f"12 {card} 345 6": (f"12 {c} 345 6", 1),
+        f"1234567 {card}": (f"1234567 {c}", 1), f"{card} {card}": (f"{c} {c}", 2), f"{card} {address}": (f"{c} {a}", 2),
+        f"{card.replace(' ', '')} 123": (f"{c.replace(' ', '')} 123", 1), f"12 {' '.join(card.replace(' ', ''))}": (f"12 {' '.join(c.replace(' ', ''))}", 1),
+        f"12 {card[:-1]}2 345": (f"12 {card[:-1]}2 345", 0),
+    }
+    for (text, found, n), (source, (new, m)) in zip(changed(spark, *expected), expected.items()):
+        assert (text, n) == (new, m) and found >= n, source
+
+
+def test_phones_of_other_countries(spark):
+    texts = ["+49 (30) 123-4567 2024", "+49 (30) 123-4567", "+44 20 7946 0958 17", "+442079460958", "+49-30-1234 5678", "+33 1 23 45 67 89"]
+    (a, _, n), (b, _, _), (c, _, _), (d, _, _), (e, _, k), (f, _, m) = changed(spark, *texts)
+    assert a == b + " 2024" and c.endswith(" 17") and c[:-3].replace(" ", "") == d and (n, k, m) == (1, 1, 1)
+    assert e != texts[4] and e[:4] == "+49-" and f[:4] == "+33 " and f != texts[5]
+
+
 def test_permutations_are_one_to_one(spark):
     days = spark.range(pii.BLOCK_DAYS).select(pii.permute_number(F.col("id"), "k", pii.BLOCK_PARTS).alias("v"))
     assert days.distinct().count() == pii.BLOCK_DAYS and days.agg(F.max("v")).first()[0] == pii.BLOCK_DAYS - 1
