@@ -77,7 +77,8 @@ COUNTRY = r"^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}
 CARD = rf"(?<![\d+-])\d(?:(?: (?!{_OWN})|-)?\d){{12,}}+"
 CARD_SHAPE = r"^(?:1[3-9]|4-4-4-4(?:-3)?|4-6-[45]|4-4-5)$"
 FOUND = "|".join((MAIL, KEY, DATE, ADDRESS, SOCIAL, PHONE, CARD))
-MAY_HOLD = r"\d\d|@"
+# Every form in FOUND holds this: texts without it aren't searched.
+MAY_HOLD = r"\d[. -]?\d|@|[0-9a-f]{32}"
 
 _DIGITS, _HEX = "0123456789", "abcdef"
 _SMALL, _CAPITAL = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

@@ -151,6 +151,14 @@ def test_phones_of_other_countries(spark):
     assert e != texts[4] and e[:4] == "+49-" and f[:4] == "+33 " and f != texts[5]
 
 
+def test_values_without_two_digits_in_a_row_are_searched(spark):
+    card, key = "4-1-1-1-1-1-1-1-1-1-1-1-1-1-1-1", "abcdef" * 6
+    texts = ["ping 8.8.8.8 now", "ping 8.8.8.8 now in 2024", card, f"{card} in 2024", f'k = "{key}"', f'k = "{key}" in 2024']
+    got = changed(spark, *texts)
+    for (alone, _, n), (beside, _, _), source in zip(got[::2], got[1::2], texts[::2]):
+        assert alone != source and n == 1 and beside == alone + " in 2024"
+
+
 def test_permutations_are_one_to_one(spark):
     days = spark.range(pii.BLOCK_DAYS).select(pii.permute_number(F.col("id"), "k", pii.BLOCK_PARTS).alias("v"))
     assert days.distinct().count() == pii.BLOCK_DAYS and days.agg(F.max("v")).first()[0] == pii.BLOCK_DAYS - 1
