@@ -33,6 +33,26 @@ def test_stages_take_effect(spark):
     assert tokens.count() == mixed.count() and tokens.columns == ["doc_id", "source", "n_tokens", "ids"]
 
 
+def test_near_copies_of_080_go(spark):
+    import random
+
+    from helpers_llm import frame, words
+    from test_dedup import components_by_hand
+
+    rng, rows = random.Random(5), []
+    for group in range(12):  # a change takes 5 of 146 shingles: three leave 0.81, four 0.76
+        base = words(rng, 150, 100_000).split()
+        rows.append((10 * group, " ".join(base), "en", "a"))
+        for i, changes in enumerate((3, 4, group % 4)):
+            copy = list(base)
+            for at in range(changes):
+                copy[20 + 30 * at] = f"n{group}_{i}_{at}"
+            rows.append((10 * group + i + 1, " ".join(copy), "en", "a"))
+    left = sorted(r["doc_id"] for r in P.drop_near_copies(spark, frame(spark, rows), SF_DIR).collect())
+    by_hand = {percent: sorted(r[0] for r in components_by_hand(rows, percent) if r[3]) for percent in (80, 85)}
+    assert left == by_hand[80] != by_hand[85]
+
+
 def test_run_is_the_stages_in_order(spark):
     assert [name for name, _ in P.STAGES] == ["toxicity", "near_dedup", "pii", "mixing", "bpe"]
     out = P.run(spark, SF_DIR)
