@@ -16,7 +16,8 @@ Links are looked for where they can still join something. First, each set is com
 member of each of its buckets (by random priority), and its best three are confirmed. Buckets that
 then still hold several components are searched in full, in two rounds: the best partner in another
 component for each set, and after these are joined all partners left. So every link between
-components is tested, and no bucket's pairs are ever listed. A bucket with more than TILE sets is
+components is tested, and no bucket's pairs are ever listed. The pairs of a member that stands for more than PIECE
+sets are confirmed in pieces by several tasks, each with that member's set and its own others. A bucket with more than TILE sets is
 searched in tiles by several tasks.
 
 Defined cases: a document without words, or with null text, has an empty set and is linked with
@@ -42,6 +43,7 @@ PARTS = 1024
 SKETCH_BITS = 1024
 CERTAIN = 5.0
 TILE = 20_000
+PIECE = 2_000
 
 _rng = np.random.Generator(np.random.PCG64(85))
 _TIMES = _rng.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -280,6 +282,14 @@ def _open_pairs(sets: DataFrame, labels: DataFrame, percent: int, best: bool) ->
     return rows.groupBy("tile").applyInPandas(look, _PAIRS)
 
 
+def _dealt(ranked: DataFrame) -> DataFrame:
+    """Pairs a, b with their tile: those of one b together, or in pieces of about PIECE by a."""
+    many = ranked.groupBy("b").agg(F.ceil(F.count("*") / PIECE).alias("pieces")).filter("pieces > 1")
+    pieces = F.coalesce("pieces", F.lit(1).cast("bigint"))
+    tile = F.pmod(F.xxhash64("b", F.pmod(F.xxhash64("a"), pieces)), F.lit(buckets(ranked.sparkSession)))
+    return join_small(ranked, many, "b", "left").select(tile.alias("tile"), "a", "b")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85, width: int = WIDTH) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id, kept, rows_key (xxhash64 of the text)."""
     ready(docs.sparkSession)
@@ -298,8 +308,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = WIDTH) -> D
 
     alike = _with_sketches(together.filter("a != b"), sets, percent)
     ranked = alike.withColumn("i", F.row_number().over(W.partitionBy("a").orderBy(F.desc("like"), "b"))).filter("i <= 3")
-    tile = F.pmod(F.xxhash64("b"), F.lit(buckets(docs.sparkSession))).alias("tile")
-    first = ranked.select(tile, "a", "b").groupBy("tile").applyInPandas(lambda g: _packed(int(g["tile"].iloc[0]), g[["a", "b"]].to_numpy()), _PAIRS)
+    ranked = stored(ranked.select("a", "b"), "minhash-ranked")
+    first = _dealt(ranked).groupBy("tile").applyInPandas(lambda g: _packed(int(g["tile"].iloc[0]), g[["a", "b"]].to_numpy()), _PAIRS)
     links = stored(_confirmed(first, full, percent), "minhash-links")
     labels = components(links)
     for best in (True, False):

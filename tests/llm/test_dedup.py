@@ -6,10 +6,11 @@ import hashlib
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from helpers_llm import frame, words
-from signalmill.llm import minhash_dedup, substring_dedup
+from signalmill.llm import minhash_dedup, packed, substring_dedup
 from signalmill.llm.components import components
 
 
@@ -100,6 +101,32 @@ def test_components_match_brute_force(spark, awkward_rows, tile, monkeypatch):
     assert found(out, "doc_id", "n_shingles", "component_id", "kept") == components_by_hand(rows, 85)
 
 
+def test_a_large_group_is_confirmed_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(minhash_dedup, "PIECE", 4, raising=False)
+    confirmed, most = minhash_dedup._confirmed, []
+
+    def watched(pairs, full, percent):
+        most.append(sorted(sum(len(packed.unpack(r["cell"], np.int64)[0]) for r in rows) for rows in by_tile(pairs)))
+        return confirmed(pairs, full, percent)
+
+    def by_tile(pairs):
+        tiles = defaultdict(list)
+        for r in pairs.collect():
+            tiles[r["tile"]].append(r)
+        return tiles.values()
+
+    monkeypatch.setattr(minhash_dedup, "_confirmed", watched)
+    rng = random.Random(8)
+    base, rows = words(rng, 150, 4000).split(), []
+    for i in range(200):  # each another text, all alike
+        copy = list(base)
+        copy[rng.randrange(len(copy))] = f"n{i}"
+        rows.append((i, " ".join(copy), "en", "a"))
+    out = minhash_dedup.near_duplicates(frame(spark, rows))
+    assert found(out, "doc_id", "n_shingles", "component_id", "kept") == components_by_hand(rows, 85)
+    assert sum(most[0]) > 200 and most[0][-1] < sum(most[0]) / 4, most[0]
+
+
 def test_null_ids_and_repeated_rows(awkward, awkward_rows):
     rows = minhash_dedup.near_duplicates(awkward).collect()
     assert len(rows) == len(awkward_rows)
