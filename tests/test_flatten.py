@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from conftest import SEC, T0, exp_histogram, gauge, histogram, log, resource, span
+from helpers import SEC, T0, exp_histogram, gauge, histogram, log, resource, span
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 

@@ -4,7 +4,7 @@ import datetime as dt
 import json
 
 import pytest
-from conftest import gauge, histogram, log, span
+from helpers import gauge, histogram, log, span
 from pyspark.sql import functions as F
 
 from signalmill.operators.dedup import dedup

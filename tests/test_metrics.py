@@ -5,7 +5,7 @@ import math
 import random
 
 import pytest
-from conftest import exp_histogram, gauge, histogram
+from helpers import exp_histogram, gauge, histogram
 from pyspark.sql import functions as F
 
 from signalmill.functions.histograms import histogram_quantile

@@ -3,7 +3,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from conftest import log, span
+from helpers import log, span
 from pyspark.sql import functions as F
 
 from signalmill.operators import anomaly as N
