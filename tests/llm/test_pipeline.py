@@ -22,8 +22,8 @@ def test_stages_take_effect(spark):
     assert single.columns == docs.columns and single.exceptAll(kept).count() == 0
     from signalmill.llm.minhash_dedup import near_duplicates
 
-    groups = near_duplicates(kept).select("component_id").distinct().count()
-    assert single.count() == groups and near_duplicates(single).filter("NOT kept").count() == 0
+    groups = near_duplicates(kept, P.NEAR_PERCENT).select("component_id").distinct().count()
+    assert single.count() == groups and near_duplicates(single, P.NEAR_PERCENT).filter("NOT kept").count() == 0
     hidden = P.pseudonymize(spark, single, SF_DIR).cache()
     assert hidden.columns == docs.columns and hidden.count() == single.count()
     mixed = P.mix_sources(spark, hidden, SF_DIR).cache()
