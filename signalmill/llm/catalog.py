@@ -169,3 +169,112 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = train(docs.filter(~held_out(5, 0)), table(spark, sf_dir, "labels"))
     scored = score(docs.withColumn("held_out", held_out(5, 0)), model, ("doc_id", "held_out"))
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """doc_id and text; a tenth of the texts by crc32 of the doc_id repeats a passage from word a on, p words long."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = docs.filter("text IS NOT NULL").select(
+        "doc_id", "text", h.alias("h"), g.alias("g"),
+        F.explode(F.array(F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), 0)))).alias("words"),
+    )
+    n = F.size("words")
+    turned = words.withColumn("a", F.when(n > 0, (F.col("g") % n).cast("int"))).withColumn(
+        "p", 1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8)).cast("int")
+    )
+    a, p = F.col("a"), F.col("p")
+    changed = F.transform("words", lambda w, i: F.when(i < a, w).otherwise(F.get("words", a + F.pmod(i - a, p))))
+    text = F.when((F.col("h") % 10 == 0) & (n > 0), F.array_join(changed, " ")).otherwise(F.col("text"))
+    return turned.select("doc_id", text.alias("text")).unionByName(docs.filter("text IS NULL").select("doc_id", "text"))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .periodic_runs import collapse_runs, listed, longest
+
+    found = collapse_runs(with_repeats(table(spark, sf_dir, "documents")))
+    best = longest(F.col("runs"))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(listed(F.col("runs")), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import scan
+
+    place = F.col("places.place")
+    return scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", F.size("places").cast("bigint").alias("n_base"), F.array_min(place).alias("first_word"),
+        F.array_max(place).alias("last_word"), F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"), "score",
+    )
+
+
+def _license_sql() -> str:
+    from .licenses import PHRASES, TEMPLATES, notices, words_in
+
+    wanted = notices(TEMPLATES)
+    kinds = ", ".join(f"({x.number}, '{x.label}', {len(x.words)}, {x.least}, {x.width})" for x in wanted)
+    held = ", ".join(f"({x.number}, '{w}')" for x in wanted for w in x.words)
+
+    def stands(words: list[str]) -> str:
+        return " AND ".join(f"ws[i + {k}] = '{x}'" for k, x in enumerate(words))
+
+    base = " UNION ALL ".join(
+        f"SELECT doc_id, unnest(list_filter(range(1, len(ws) + 1), lambda i: {stands(words_in(phrase))})) - 1 AS place, '{label}' AS label FROM w"
+        for phrase, label in PHRASES.items()
+    )
+    return rf"""
+WITH w AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS ws FROM documents),
+b AS ({base}),
+t(number, label, words, least, width) AS (VALUES {kinds}),
+h(number, word) AS (VALUES {held}),
+o AS (SELECT width, doc_id, unnest(range(0, len(ws), width // 2)) AS s,
+             unnest(list_transform(range(0, len(ws), width // 2), lambda s: ws[s + 1:s + width])) AS block
+      FROM w, (SELECT DISTINCT width FROM t)),
+k AS (SELECT DISTINCT width, doc_id, s, unnest(block) AS word FROM o),
+c AS (SELECT doc_id, label, count(*) / any_value(words) AS containment
+      FROM k JOIN h USING (word) JOIN t ON t.number = h.number AND t.width = k.width
+      GROUP BY doc_id, s, t.number, label HAVING count(*) >= any_value(least)),
+l AS (SELECT doc_id, label, 1.0::DOUBLE AS score FROM b UNION ALL SELECT doc_id, label, containment FROM c),
+x AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score FROM l GROUP BY doc_id),
+y AS (SELECT doc_id, count(*) AS n, min(place) AS first_word, max(place) AS last_word,
+             string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM b GROUP BY doc_id)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0)::DOUBLE AS score
+FROM w LEFT JOIN y USING (doc_id) LEFT JOIN x USING (doc_id)
+"""
+
+
+ORACLES["op12_license_scan"] = _license_sql()
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .fill_in_middle import fill_in_middle, restore
+
+    return restore(fill_in_middle(table(spark, sf_dir, "documents"))).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
+ORACLES["op13_fill_in_middle"] = """
+WITH h AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n, sha256('1:' || doc_id) AS d FROM documents),
+c AS (SELECT doc_id, text, n, ('0x' || d[1:8])::BIGINT % (n + 1) AS x, ('0x' || d[9:16])::BIGINT % (n + 1) AS y,
+             ('0x' || d[17:24])::BIGINT % 100 AS plain, ('0x' || d[25:32])::BIGINT % 100 AS spm FROM h),
+f AS (SELECT doc_id, text, n, least(x, y) AS a, greatest(x, y) AS b,
+             CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR plain >= 90 THEN 'plain'
+                  WHEN spm < 20 THEN 'spm' ELSE 'psm' END AS form FROM c),
+p AS (SELECT *, substring(text, 1, a) AS prefix, substring(text, a + 1, b - a) AS middle, substring(text, b + 1) AS suffix FROM f)
+SELECT doc_id, n, form, CASE WHEN form != 'plain' THEN a END AS prefix_chars, CASE WHEN form != 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+"""
