@@ -126,8 +126,9 @@ def word_counts(words: DataFrame, kinds: list[str]) -> dict[str, int]:
     return {r["word"]: r["count"] for r in every.groupBy("word").count().collect()}
 
 
-def _list(words: Iterable[str]) -> Column:
-    return F.array(*(F.lit(w) for w in words)) if words else F.array().cast("array<string>")
+def _list(words: list[str]) -> Column:
+    """A constant array; words hold no spaces."""
+    return F.split(F.lit(" ".join(words)), " ") if words else F.array().cast("array<string>")
 
 
 def _places_of(words: Column, phrase: str, label: str) -> Column:
