@@ -319,3 +319,45 @@ metrics AS (
          metric_timestamp + to_seconds(delay_s) AS ingestion_timestamp
   FROM points
 )"""
+
+
+def nested_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat spans whose times overlap as calls do: eight consecutive events a trace, a binary tree of calls.
+
+    Some parents are lost; some spans are each other's parents.
+    """
+    e = F.col
+    base, slot = F.call_function("div", e("event_id"), F.lit(8)), e("event_id") % 8
+    parent = (
+        F.when(slot == 0, F.lit(None))
+        .when(e("value") > 200, F.concat(F.lit("lost-"), e("event_id")))
+        .when((slot == 1) & (e("event_type") == "signup"), F.concat(F.lit("s"), base * 8 + 3))
+        .otherwise(F.concat(F.lit("s"), base * 8 + F.call_function("div", slot - 1, F.lit(2))))
+    )
+    start = F.lit(1_704_067_200_000_000) + base * 10_000_000 + slot * 20_000 + (e("user_id") % 5) * 15_000
+    end = start + (8 - slot) * 20_000 + F.round(e("value") * 1000).cast("bigint")
+    return table(spark, sf_dir, "events").select(
+        F.concat(F.lit("t"), base).alias("trace_id"),
+        F.concat(F.lit("s"), e("event_id")).alias("span_id"),
+        parent.alias("parent_span_id"),
+        F.concat(e("event_type"), F.lit(".handle")).alias("name"),
+        F.when(e("user_id") % 50 != 0, F.concat(F.lit("svc-"), e("event_type"))).alias("service_name"),
+        F.timestamp_micros(start).alias("start_timestamp"),
+        F.timestamp_micros(end).alias("end_timestamp"),
+        F.when(e("user_id") % 10 != 3, e("value") > 40).alias("is_error"),
+    )
+
+
+NESTED_SQL = """
+nested AS (
+  SELECT *, start_us + (8 - slot) * 20000 + round(value * 1000)::BIGINT AS end_us FROM (
+    SELECT 't' || (event_id // 8) AS trace_id, 's' || event_id AS span_id,
+           CASE WHEN event_id % 8 = 0 THEN NULL
+                WHEN value > 200 THEN 'lost-' || event_id
+                WHEN event_id % 8 = 1 AND event_type = 'signup' THEN 's' || (event_id // 8 * 8 + 3)
+                ELSE 's' || (event_id // 8 * 8 + (event_id % 8 - 1) // 2) END AS parent,
+           event_type || '.handle' AS name, CASE WHEN user_id % 50 <> 0 THEN 'svc-' || event_type END AS service_name,
+           event_id % 8 AS slot, value, (value > 40 AND user_id % 10 <> 3) AS is_error,
+           1704067200000000 + event_id // 8 * 10000000 + event_id % 8 * 20000 + user_id % 5 * 15000 AS start_us
+    FROM events)
+)"""

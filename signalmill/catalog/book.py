@@ -65,6 +65,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "spans": ((), A.SPANS_SQL),
     "logs": ((), A.LOGS_SQL),
     "metrics": ((), A.METRICS_SQL),
+    "nested": ((), A.NESTED_SQL),
 }
 
 
