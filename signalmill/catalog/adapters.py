@@ -322,7 +322,11 @@ metrics AS (
 
 
 def nested_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat spans whose times overlap as calls do: eight consecutive events a trace, a binary tree of calls.
+    return nested_of(table(spark, sf_dir, "events"))
+
+
+def nested_of(events: DataFrame) -> DataFrame:
+    """Flat spans of an events frame, batch or stream, whose times overlap as calls do: eight consecutive events a trace, a binary tree of calls.
 
     Some parents are lost; some spans are each other's parents.
     """
@@ -336,7 +340,7 @@ def nested_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     start = F.lit(1_704_067_200_000_000) + base * 10_000_000 + slot * 20_000 + (e("user_id") % 5) * 15_000
     end = start + (8 - slot) * 20_000 + F.round(e("value") * 1000).cast("bigint")
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         F.concat(F.lit("t"), base).alias("trace_id"),
         F.concat(F.lit("s"), e("event_id")).alias("span_id"),
         parent.alias("parent_span_id"),
@@ -344,6 +348,7 @@ def nested_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(e("user_id") % 50 != 0, F.concat(F.lit("svc-"), e("event_type"))).alias("service_name"),
         F.timestamp_micros(start).alias("start_timestamp"),
         F.timestamp_micros(end).alias("end_timestamp"),
+        ((end - start) / 1000).alias("duration_ms"),
         F.when(e("user_id") % 10 != 3, e("value") > 40).alias("is_error"),
     )
 
@@ -357,7 +362,7 @@ nested AS (
                 WHEN event_id % 8 = 1 AND event_type = 'signup' THEN 's' || (event_id // 8 * 8 + 3)
                 ELSE 's' || (event_id // 8 * 8 + (event_id % 8 - 1) // 2) END AS parent,
            event_type || '.handle' AS name, CASE WHEN user_id % 50 <> 0 THEN 'svc-' || event_type END AS service_name,
-           event_id % 8 AS slot, value, (value > 40 AND user_id % 10 <> 3) AS is_error,
+           event_id % 8 AS slot, value, CASE WHEN user_id % 10 <> 3 THEN value > 40 END AS is_error,
            1704067200000000 + event_id // 8 * 10000000 + event_id % 8 * 20000 + user_id % 5 * 15000 AS start_us
     FROM events)
 )"""

@@ -35,6 +35,16 @@ def stream(spark: SparkSession, d: str, name: str) -> DataFrame:
     return read_stream(tune(spark), d, schema, max_files=100, files=f"{name}.parquet")
 
 
+def in_files(spark: SparkSession, df: DataFrame, order: str, files: int = 6) -> str:
+    """A folder with the rows of ``df`` in files of ascending ``order``, so that a stream takes them batch by batch."""
+    folder = work_dir(spark, "in-files")
+    low, high = df.agg(F.min(order), F.max(order)).first()
+    step = (high - low) // files + 1
+    for i in range(files):
+        df.filter((F.col(order) >= low + i * step) & (F.col(order) < low + (i + 1) * step)).coalesce(1).write.mode("append").parquet(folder)
+    return folder
+
+
 def drain(spark: SparkSession, df: DataFrame, name: str, each_batch: Callable | None = None) -> str:
     """Run a stream to the end of its input; returns the folder it wrote."""
     target = work_dir(spark, name)
