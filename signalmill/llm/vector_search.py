@@ -15,8 +15,8 @@ neighbour. A list is cut into chunks of about CHUNK rows, each searched by its o
 list spreads. Only centroids go to all tasks, at most MOST_LISTS.
 
 Defined cases: vectors that are null or zero, hold null, NaN or infinite components, or are of
-another length than most (of equally many: the longer) take no part, as queries neither; null ids
-take no part; fewer candidates than k are all returned; repeated ids are candidates each, ties go
+another length than most (of equally many: the longer) take no part, as queries neither; vectors of any finite
+size take part: distances are measured in a unit near the largest component; null ids take no part; fewer candidates than k are all returned; repeated ids are candidates each, ties go
 to the smaller id; an empty table gives no rows; extra columns stay unread.
 """
 
@@ -86,8 +86,9 @@ def probes_for(x: np.ndarray, centers: np.ndarray, k: int, recall: float) -> int
     return int(np.searchsorted(found, recall) + 1)
 
 
-def lengthened(v: np.ndarray, longest: float, turn: np.ndarray, query: bool = False) -> np.ndarray:
-    """Rows with the component that makes them equally long (queries: 0), rotated."""
+def lengthened(v: np.ndarray, longest: float, turn: np.ndarray, query: bool = False, unit: float = 1.0) -> np.ndarray:
+    """Rows in units, with the component that makes them equally long (queries: 0), rotated."""
+    v = v * unit
     extra = np.zeros(len(v)) if query else np.sqrt(np.maximum(longest**2 - (v**2).sum(axis=1), 0))
     return np.column_stack([v, extra]) @ turn
 
@@ -132,15 +133,21 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, vector: str = "embe
 
     same = W.partitionBy("v").orderBy("id")
     candidates = rows.select("id", "v").withColumn("i", F.row_number().over(same)).filter(F.col("i") <= k + 1).drop("i")
-    candidates = stored(candidates.withColumn("norm2", F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)), "search-vectors")
-    count, longest2 = candidates.agg(F.count("*"), F.max("norm2")).first()
+    # A vector's length is its largest component times sqrt(squares): no square overflows.
+    largest = F.array_max(F.transform("v", F.abs))
+    squares = F.aggregate("v", F.lit(0.0), lambda s, x: s + (x / F.col("largest")) * (x / F.col("largest")))
+    candidates = stored(candidates.withColumn("largest", largest).withColumn("squares", squares), "search-vectors")
+    count, most = candidates.agg(F.count("*"), F.max("largest")).first()
+    # The unit is a power of two, so that it changes no digit of a component.
+    unit = float(2.0 ** -np.clip(np.frexp(most)[1], -1000, 1000)) if most else 1.0
+    longest = candidates.agg(F.max(F.col("largest") * F.lit(unit) * F.sqrt("squares"))).first()[0] or 0.0
     share = min(1.0, SAMPLE / max(count, 1))
     chosen = candidates.filter(F.pmod(F.xxhash64("v"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
-    turn, longest = rotation(size + 1), float(np.sqrt(longest2 or 0.0))
+    turn = rotation(size + 1)
     sample = _vectors(chosen.select("v").limit(2 * SAMPLE).toPandas()["v"])
     if not len(sample):
         sample = _vectors(candidates.select("v").limit(1).toPandas()["v"])
-    sample = lengthened(sample, longest, turn) if len(sample) else np.zeros((1, size + 1))
+    sample = lengthened(sample, longest, turn, unit=unit) if len(sample) else np.zeros((1, size + 1))
     sample = sample[np.lexsort(sample.T[:3])]  # whatever order the rows came in
     lists = int(min(MOST_LISTS, max(1, np.sqrt(count) / 4), len(sample)))
     fitted = k_means(sample, lists)
@@ -149,7 +156,7 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, vector: str = "embe
 
     def place(batches: Iterator[pd.DataFrame]):
         for batch in batches:
-            v = lengthened(_vectors(batch["v"]), longest, turn) if len(batch) else np.zeros((0, size + 1))
+            v = lengthened(_vectors(batch["v"]), longest, turn, unit=unit) if len(batch) else np.zeros((0, size + 1))
             batch["list"] = nearest(v, centers.value, 1)[:, 0]
             yield batch[["list", "id", "v"]]
 
@@ -166,7 +173,7 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, vector: str = "embe
 
     def probe(batches: Iterator[pd.DataFrame]):
         for batch in batches:
-            near = nearest(lengthened(_vectors(batch["v"]), longest, turn, query=True), centers.value, probes)
+            near = nearest(lengthened(_vectors(batch["v"]), longest, turn, query=True, unit=unit), centers.value, probes)
             times = chunks_of[near].sum(axis=1)
             row = np.repeat(np.arange(len(batch)), times)
             flat = near.ravel()
@@ -183,11 +190,11 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, vector: str = "embe
         names, hits, products = [], [], []
         if len(part) and len(asked):
             original, ids = _vectors(part["v"]), part["id"].to_numpy(np.int64)
-            turned = lengthened(original, longest, turn)
+            turned = lengthened(original, longest, turn, unit=unit)
             edges = [0, *range(2 * BLOCK, size + 1, BLOCK), size + 1]
             blocks = [np.ascontiguousarray(turned[:, a:b]) for a, b in zip(edges, edges[1:])]
             qs = _vectors(asked["v"])
-            ts = lengthened(qs, longest, turn, query=True)
+            ts = lengthened(qs, longest, turn, query=True, unit=unit)
             for a in range(0, len(qs), 64):
                 # The first block's distances, for many queries at once.
                 lead = ts[a : a + 64, : blocks[0].shape[1]]

@@ -75,3 +75,19 @@ def test_the_turned_space_keeps_the_order():
     assert (np.argsort(far) == np.argsort(-(x @ q[0]))).all()
     centers = k_means(x, 5)
     assert 1 <= probes_for(x, centers, 5, 0.9) <= 5 and probes_for(x, centers, 5, 1.0) <= 5
+
+
+def test_vectors_of_any_finite_size(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.standard_normal(4).tolist()) for i in range(40)]
+    schema = SCHEMA.replace("array<float>", "array<double>")
+    for huge in (1e200, 1e-200, 1e307):
+        some = [*rows, (40, [huge, huge, -huge, huge])]
+        df = spark.createDataFrame([(i, v, "x", "x", "x", "x") for i, v in some], schema)
+        got = {}
+        for r in search(df, F.col("vec_id") % 10 == 0, 20).orderBy("query_id", "rank").collect():
+            got.setdefault(r["query_id"], []).append(r["vec_id"])
+        for q in (0, 10, 20, 30):
+            scored = sorted((-float(np.dot(some[q][1], v)), i) for i, v in some if i != q)
+            assert got[q] == [i for _, i in scored[:20]], (huge, q)
+        assert len(got[40]) == 20
