@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .packed import ready
+from .packed import kinds_of, ready
 
 ORDERS = (1, 2, 3)
 BITS = 15
@@ -158,7 +158,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], keep: tuple[st
     languages, table = model
     names = np.array([*languages, UNKNOWN], object)
     sent = docs.sparkSession.sparkContext.broadcast(table)
-    kept = [c for c in keep]
+    kept = [f"_{i}" for i in range(len(keep))]  # the mapped frame can't have names with dots
 
     def run(batches: Iterator[pd.DataFrame]):
         for batch in batches:
@@ -175,9 +175,9 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], keep: tuple[st
             out["score"] = np.where(grams > 0, posterior, 0.0)
             yield out
 
-    chosen = docs.select(*kept, F.col("text").cast("string").alias("text"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.select(*kept).schema.fields)
-    return chosen.mapInPandas(run, kinds + ", lang_pred string, score double")
+    chosen = docs.select(*(F.col(f"`{k}`").alias(n) for k, n in zip(keep, kept)), F.col("text").cast("string").alias("text"))
+    found = chosen.mapInPandas(run, ", ".join(x for x in (kinds_of(chosen, kept), "lang_pred string, score double") if x))
+    return found.toDF(*keep, "lang_pred", "score")
 
 
 def identify(docs: DataFrame, learn_from: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

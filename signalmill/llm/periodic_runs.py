@@ -165,9 +165,11 @@ def collapse_runs(
     if repeats < 2:
         raise ValueError("a run has two periods at least")
     ready(docs.sparkSession)
-    kept = [k for k in keep if k not in RESULTS]
-    source = docs.select(*(F.col(f"`{k}`") for k in kept), F.col(f"`{text}`").alias("_run_text"))
-    kinds = ", ".join(x for x in (kinds_of(docs, kept), "n_words bigint, runs array<struct<start: bigint, length: bigint, period: bigint>>, collapsed string") if x)
+    keep = [k for k in keep if k not in RESULTS]
+    kept = [f"_{i}" for i in range(len(keep))]  # the mapped frame can't have names with dots
+    source = docs.select(*(F.col(f"`{k}`").alias(n) for k, n in zip(keep, kept)), F.col(f"`{text}`").alias("_run_text"))
+    made = "n_words bigint, runs array<struct<start: bigint, length: bigint, period: bigint>>, collapsed string"
+    kinds = ", ".join(x for x in (kinds_of(source, kept), made) if x)
 
     def one(value) -> tuple[int, list[dict], str]:
         words = as_bytes(value).split()
@@ -187,7 +189,7 @@ def collapse_runs(
                 frame[name] = pd.Series([f[i] for f in found], index=frame.index, dtype="int64" if i == 0 else object)
             yield frame
 
-    return source.mapInPandas(run, kinds)
+    return source.mapInPandas(run, kinds).toDF(*keep, *RESULTS)
 
 
 def longest(runs: Column) -> Column:

@@ -126,3 +126,11 @@ def test_a_long_text_in_pieces_counts_as_one(monkeypatch):
     rows = [langid.hashed_ngrams(held) for _, held in langid._pieces([text])]
     parts = np.concatenate([h for piece in rows for _, h in piece])
     assert abs(len(parts) - len(whole)) <= 3 * len(rows)
+
+
+def test_language_keeps_dotted_columns(spark):
+    from signalmill.llm import langid
+
+    docs = spark.createDataFrame([(1, "ein kleiner text", "de", 5), (2, "a small text", "en", 6)], "doc_id bigint, text string, lang string, `a.b` int")
+    got = langid.identify(docs, docs, ("doc_id", "a.b"))
+    assert got.columns[:2] == ["doc_id", "a.b"] and sorted(r["a.b"] for r in got.collect()) == [5, 6]

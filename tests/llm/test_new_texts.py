@@ -254,3 +254,10 @@ def test_queries_match_their_sql(spark, name):
     names = [c[0] for c in cur.description]
     assert got.columns == names
     assert rows_of(got, *names) == sorted(cur.fetchall(), key=str)
+
+
+def test_kept_columns_may_have_dots(spark):
+    docs = spark.createDataFrame([(1, "a a a a a a b", 5)], "doc_id bigint, text string, `a.b` int")
+    for found in (runs.collapse_runs(docs, ("doc_id", "a.b")), licenses.scan(docs, ("doc_id", "a.b")), fim.fill_in_middle(docs, ("doc_id", "a.b"))):
+        assert found.columns[:2] == ["doc_id", "a.b"] and [r["a.b"] for r in found.collect()] == [5]
+    assert runs.collapse_runs(docs, ()).collect()[0]["collapsed"] == "a b"
