@@ -1,5 +1,5 @@
 """Registered queries over the generic test tables."""
-from . import anomalies, graph, health, logs, metrics, projections, quality, reports, sampling, seasonal, sources, spans, streams, trees  # noqa: F401
+from . import anomalies, change, graph, health, logs, metrics, projections, quality, reports, sampling, seasonal, sources, spans, streams, trees  # noqa: F401
 from .book import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
