@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators import rollups as R
 from ..operators import serving as S
 from . import adapters as A
 from .book import cte, query
@@ -150,9 +149,7 @@ cte(
 
 
 def combined(spark, d, service=None, as_of=None, hours=(9000, 9000, 9000)):
-    r1 = rollup1(spark, d)
-    r5, r60 = R.rerollup(r1, "5 minutes"), R.rerollup(r1, "1 hour")
-    return S.multi_resolution(r1, r5, r60, service, A.as_of() if as_of is None else as_of, hours)
+    return S.multi_resolution(rollup1(spark, d), service, A.as_of() if as_of is None else as_of, hours)
 
 
 # Inside the time range of the metrics at every scale.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import columns as C
@@ -70,6 +72,31 @@ def rerollup(rollup: DataFrame, size: str = "5 minutes") -> DataFrame:
     )
 
 
+def resolutions(rollup: DataFrame, sizes: dict[str, str], hours: dict[str, int] | None = None, as_of: Column | None = None) -> DataFrame:
+    """A finer rollup at several resolutions at once: ``rollup_window`` (the label) and the columns of ``rerollup``.
+
+    One scan: each row goes to one window of each size, and rows of a window are combined in each task before
+    the shuffle. ``hours`` is how far back the windows of each label start, ``as_of`` from when.
+    """
+    cut = rollup
+    if hours is not None:
+        # A window starts before its rows, so rows further back than the longest lookback belong to none.
+        cut = lookback(rollup, "window_start", f"{max(hours.values())} HOURS", as_of)
+    at = [F.struct(F.lit(label).alias("label"), C.floor_to("window_start", size).alias("start")) for label, size in sizes.items()]
+    dealt = cut.select(F.explode(F.array(*at)).alias("to"), *SERIES, "sample_count", "avg_value", "min_value", "max_value", "sum_value")
+    if hours is not None:
+        since = C.now(as_of)
+        dealt = dealt.filter(reduce(
+            lambda a, b: a | b,
+            ((F.col("to.label") == label) & (F.col("to.start") >= since - F.expr(f"INTERVAL {back} HOURS")) for label, back in hours.items()),
+        ))
+    grouped = dealt.groupBy(F.col("to.label").alias("rollup_window"), *SERIES, F.col("to.start").alias("window_start")).agg(
+        F.sum("sample_count").alias("sample_count"), F.avg("avg_value").alias("avg_value"), F.min("min_value").alias("min_value"),
+        F.max("max_value").alias("max_value"), F.sum("sum_value").alias("sum_value"),
+    )
+    return grouped.withColumn("weighted_avg_value", F.try_divide(F.col("sum_value"), F.col("sample_count")))
+
+
 def metric_rollups_hourly(
     metrics: DataFrame, interval: str | None = "2 days", as_of: Column | None = None
 ) -> DataFrame:

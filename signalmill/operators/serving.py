@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import columns as C
 from ..functions.predicates import lookback
+from .rollups import resolutions
 
 
 def health_points(hourly: DataFrame, hours: int | None = 12, as_of: Column | None = None) -> DataFrame:
@@ -89,21 +90,19 @@ def share_by(df: DataFrame, column: Column, name: str, count: str) -> DataFrame:
     return summed.withColumn("share", F.try_divide(F.col(count), total))
 
 
+RESOLUTIONS = {"1min": "1 minute", "5min": "5 minutes", "1hour": "1 hour"}
+
+
 def multi_resolution(
-    r1: DataFrame, r5: DataFrame, r60: DataFrame, service: str | None = None, as_of: Column | None = None,
-    hours: tuple[int, int, int] = (2, 6, 24),
+    r1: DataFrame, service: str | None = None, as_of: Column | None = None, hours: tuple[int, int, int] = (2, 6, 24),
 ) -> DataFrame:
-    """The three rollups of a service as one labelled series, each over its own lookback."""
-    frames = {"1min": r1, "5min": r5, "1hour": r60}
-    cut = {}
-    for (label, df), back in zip(frames.items(), hours):
-        df = lookback(df, "window_start", f"{back} HOURS", as_of)
-        df = df if service is None else df.filter(F.col("service_name") == service)
-        cut[label] = df.select(
-            F.col("window_start").alias("timestamp"), "name", "service_name", "metric_type",
-            "avg_value", "min_value", "max_value", "sample_count",
-        )
-    return union_labelled(cut, "rollup_window")
+    """The rollups of a service as one labelled series, each over its own lookback, from one scan of the finest."""
+    r1 = r1 if service is None else r1.filter(F.col("service_name") == service)
+    every = resolutions(r1, RESOLUTIONS, dict(zip(RESOLUTIONS, hours)), as_of)
+    return every.select(
+        "rollup_window", F.col("window_start").alias("timestamp"), "name", "service_name", "metric_type",
+        "avg_value", "min_value", "max_value", "sample_count",
+    )
 
 
 def union_labelled(frames: dict[str, DataFrame], label: str) -> DataFrame:
