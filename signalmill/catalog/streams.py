@@ -21,9 +21,9 @@ from ..operators.spans import flatten_spans
 from ..session import tune, work_dir
 from ..sinks import read_latest, upsert_latest
 from ..sources import read_stream
-from ..streaming import run_stream, with_event_time
+from ..streaming import StreamWatch, amended, batches, run_stream, split_late, watermark, with_event_time, with_window
 from . import adapters as A
-from .book import joined, query
+from .book import cte, joined, query
 from .health import H1_COLUMNS, RPS_SQL
 from .logs import ENRICHED
 from .metrics import DISTRIBUTION_COLUMNS, ROLLUP_COLUMNS, _distribution_texts
@@ -203,3 +203,102 @@ def _(spark, d):
     target, order = work_dir(spark, "latest-stream"), ["ts", "event_id"]
     drain(spark, updates, "latest-run", upsert_latest(target, ["user_id"], order))
     return read_latest(spark, target, ["user_id"], order)
+
+
+# Deliveries out of order: events of a value above 90 come a third of the table later. Six files, a batch each;
+# a file holds what is delivered in its sixth, and the watermark of a batch is that of the files before it.
+FILES, LATE_BY = 6, 10
+cte(
+    "delivered",
+    f"""SELECT e.*, first_id, step, (place - first_id) // step AS file FROM (
+      SELECT event_id, event_id + CASE WHEN value > 90 THEN n // 3 ELSE 0 END AS place FROM events, (SELECT count(*) AS n FROM events)) p
+    JOIN events e USING (event_id), (SELECT min(place) AS first_id, (max(place) - min(place)) // {FILES} + 1 AS step FROM (
+      SELECT event_id + CASE WHEN value > 90 THEN n // 3 ELSE 0 END AS place FROM events, (SELECT count(*) AS n FROM events)))""",
+)
+cte("marks", f"""SELECT f.file, (SELECT max(ts) FROM delivered d WHERE d.file < f.file) - INTERVAL {LATE_BY} MINUTE AS mark
+    FROM (SELECT DISTINCT file FROM delivered) f""", ("delivered",))
+cte("late_events", "SELECT d.* FROM delivered d JOIN marks m ON m.file = d.file AND d.ts < m.mark", ("marks",))
+
+
+def delivered(spark: SparkSession, d: str) -> DataFrame:
+    """The stream of events in the order of delivery."""
+    events = A.table(spark, d, "events")
+    late_by = events.count() // 3
+    placed = events.withColumn("place", F.col("event_id") + F.when(F.col("value") > 90, F.lit(late_by)).otherwise(F.lit(0)))
+    placed = placed.withColumn("ts", F.col("ts").cast("timestamp"))
+    return read_stream(spark, in_files(spark, placed, "place", FILES), placed.schema, max_files=1)
+
+
+def split(spark: SparkSession, d: str) -> tuple[str, str, str, DataFrame]:
+    """Folders of on-time rows, late rows and marks after the whole stream, and its schema's frame."""
+    root, stream = work_dir(spark, "split"), delivered(spark, d)
+    folders = [f"{root}/{n}" for n in ("on-time", "late", "marks")]
+    drain(spark, stream, "split-run", split_late(*folders, "ts", f"{LATE_BY} minutes"))
+    return (*folders, stream)
+
+
+@query("stream_late_rows", "SELECT event_id, ts, user_id, event_type, value, props FROM late_events", uses=("late_events",))
+def _(spark, d):
+    _, late, _, stream = split(spark, d)
+    return spark.read.schema(stream.schema).parquet(batches(late)).drop("place")
+
+
+# The stream of totals reads the on-time rows and drops none; windows that late rows touch are made again. Totals
+# and lists then hold the same spans.
+@query(
+    "stream_amended_totals",
+    f"""SELECT trace_id, time_bucket(INTERVAL '5 minutes', start_timestamp) AS window_start, count(*) AS span_count,
+       CAST(sum(CASE WHEN is_error THEN 1 ELSE 0 END) AS BIGINT) AS error_count, max(duration_ms) AS max_span_duration_ms,
+       string_agg(span_id, ',' ORDER BY span_id) AS span_ids, count(*) AS listed, CAST(0 AS BIGINT) AS dropped
+    FROM spans GROUP BY 1, 2
+    HAVING time_bucket(INTERVAL '5 minutes', start_timestamp) + INTERVAL 5 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL {LATE_BY} MINUTE""",
+    uses=("spans",),
+)
+def _(spark, d):
+    on_time, late, marks, stream = split(spark, d)
+    spans = lambda df: with_window(flatten_spans(A.spans_of(df)), "start_timestamp", "5 minutes")
+    kept = read_stream(spark, batches(on_time), stream.schema, max_files=8)
+    watch = StreamWatch().watch(spark)
+    try:
+        target = work_dir(spark, "late-totals")
+        totals = T.trace_totals(flatten_spans(A.spans_of(kept)), delay=f"{LATE_BY} minutes")
+        run = run_stream(totals, target, f"{target}-checkpoint")
+        run.awaitTermination()
+        dropped = watch.counts(run).late_rows
+    finally:
+        watch.stop(spark)
+    read = lambda folder: spans(spark.read.schema(stream.schema).parquet(batches(folder)))
+    every = read(on_time).unionByName(read(late))
+    closed = F.col("window.end") <= watermark(spark, marks, f"{LATE_BY} minutes")
+    whole = amended(
+        spark.read.schema(totals.schema).parquet(target), every, read(late), ["trace_id", "window"],
+        lambda df: T.trace_totals(df.drop("window"), delay=None), closed,
+    )
+    out = T.with_span_lists(whole, T.trace_details(every.drop("window")))
+    return out.select(
+        "trace_id", F.col("window.start").alias("window_start"), "span_count", "error_count", "max_span_duration_ms",
+        F.array_join(F.transform("span_details", lambda s: s["span_id"]), ",").alias("span_ids"),
+        F.size("span_details").cast("bigint").alias("listed"), F.lit(dropped).cast("bigint").alias("dropped"),
+    )
+
+
+# Without the split, a stateful operator drops late rows: those behind the watermark that the batch before began with.
+# The listener's counts are of all batches.
+@query(
+    "stream_late_counts",
+    f"""SELECT (SELECT count(*) FROM events) AS input_rows, count(*) AS late_rows, CAST({FILES} AS BIGINT) AS files
+    FROM delivered d JOIN marks m ON m.file = d.file - 1 AND d.ts < m.mark""",
+    uses=("marks",),
+)
+def _(spark, d):
+    watch = StreamWatch().watch(spark)
+    try:
+        target = work_dir(spark, "late-counts")
+        once = delivered(spark, d).withWatermark("ts", f"{LATE_BY} minutes").dropDuplicates(["event_id", "ts"])
+        run = run_stream(once, target, f"{target}-checkpoint")
+        run.awaitTermination()
+        watch.counts(run)
+        seen = watch.take(spark).filter(F.col("run_id") == str(run.runId))
+    finally:
+        watch.stop(spark)
+    return seen.agg(F.sum("input_rows").alias("input_rows"), F.sum("late_rows").alias("late_rows"), F.count_if(F.col("input_rows") > 0).alias("files"))

@@ -1,4 +1,9 @@
-"""Structured Streaming: event time, running, progress."""
+"""Structured Streaming: event time, running, progress, late rows."""
+from .late import amended, batches, split_late, watermark, with_window
 from .run import late_rows, progress, run_stream, with_event_time
+from .watch import RunCounts, StreamWatch
 
-__all__ = ["late_rows", "progress", "run_stream", "with_event_time"]
+__all__ = [
+    "RunCounts", "StreamWatch", "amended", "batches", "late_rows", "progress", "run_stream", "split_late", "watermark", "with_event_time",
+    "with_window",
+]
