@@ -35,9 +35,9 @@ def stream(spark: SparkSession, d: str, name: str) -> DataFrame:
     return read_stream(tune(spark), d, schema, max_files=100, files=f"{name}.parquet")
 
 
-def in_files(spark: SparkSession, df: DataFrame, order: str, files: int = 6) -> str:
+def in_files(spark: SparkSession, df: DataFrame, order: str, files: int = 6, folder: str | None = None) -> str:
     """A folder with the rows of ``df`` in files of ascending ``order``, so that a stream takes them batch by batch."""
-    folder = work_dir(spark, "in-files")
+    folder = folder or work_dir(spark, "in-files")
     low, high = df.agg(F.min(order), F.max(order)).first()
     step = (high - low) // files + 1
     for i in range(files):

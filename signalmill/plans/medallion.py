@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from ..operators import anomaly, dependencies, health, logs, metrics, rollups, spans, traces
+from ..operators import anomaly, dependencies, health, logs, metrics, quality, rollups, spans, traces
+from ..functions.columns import now
 from ..operators.dedup import dedup
 from ..schemas import ddl
 from ..sinks.tables import write_table
 from ..sources import SourceConfig, read_stream, read_table
 from ..sources.tables import is_path
-from ..streaming import run_stream
+from ..streaming import StreamWatch, run_stream
+from .checks import RESULTS, Checked, results_of, valid_rows
 from .registry import Registry
 
 RAW = {"otel_spans": "spans", "otel_logs": "logs", "otel_metrics": "metrics"}
@@ -26,14 +29,25 @@ DELAYS: dict[str, str | None] = {
 }
 
 
-def datasets(as_of: Column | None = None, delays: dict[str, str | None] | None = None) -> Registry:
-    """All datasets. ``delays`` replaces single entries of ``DELAYS``.
+# What becomes of rows that break an expectation, where it is not a mere warning.
+ACTIONS: dict[str, str] = {"traces_silver": "quarantine", "logs_silver": "quarantine", "metrics_silver": "quarantine"}
+
+
+def datasets(
+    as_of: Column | None = None, delays: dict[str, str | None] | None = None, parts: int = 1, actions: dict[str, str] | None = None
+) -> Registry:
+    """All datasets. ``delays`` replaces single entries of ``DELAYS``, ``actions`` those of ``ACTIONS``.
+
+    ``parts`` is the number of rows that a trace or a histogram window with its lists is split into.
 
     Rows that come later than that are dropped from a stream dataset; a batch
     build over the raw tables has them all.
     """
     r = Registry()
-    wait = {**DELAYS, **(delays or {})}
+    wait, act = {**DELAYS, **(delays or {})}, {**ACTIONS, **(actions or {})}
+
+    def checks(name: str, predicates: dict[str, str]) -> dict:
+        return {"expectations": predicates, "action": act.get(name, "warn")}
 
     def flat_spans(raw: DataFrame) -> DataFrame:
         flat = spans.flatten_spans(raw)
@@ -58,9 +72,9 @@ def datasets(as_of: Column | None = None, delays: dict[str, str | None] | None =
             raise ValueError(f"{name} needs a delay: its windows close by it")
         return wait[name] if df.isStreaming else None
 
-    r.register("traces_silver", flat_spans, ("otel_spans",), "stream")
-    r.register("logs_silver", flat_logs, ("otel_logs",), "stream")
-    r.register("metrics_silver", flat_metrics, ("otel_metrics",), "stream")
+    r.register("traces_silver", flat_spans, ("otel_spans",), "stream", **checks("traces_silver", quality.SPAN_EXPECTATIONS))
+    r.register("logs_silver", flat_logs, ("otel_logs",), "stream", **checks("logs_silver", quality.LOG_EXPECTATIONS))
+    r.register("metrics_silver", flat_metrics, ("otel_metrics",), "stream", **checks("metrics_silver", quality.METRIC_EXPECTATIONS))
     r.register(
         "metrics_1min_rollup",
         lambda m: rollups.metrics_rollup(m, "1 minute", late(m, "metrics_1min_rollup")), ("metrics_silver",), "stream",
@@ -71,13 +85,17 @@ def datasets(as_of: Column | None = None, delays: dict[str, str | None] | None =
     )
     r.register(
         "histogram_metrics_1min_rollup",
-        lambda m: rollups.histogram_rollup(m, "1 minute", as_of=as_of), ("metrics_silver",),
+        lambda m: rollups.histogram_rollup(m, "1 minute", as_of=as_of, parts=parts), ("metrics_silver",),
     )
     r.register(
         "service_health_silver",
         lambda s: health.service_health(s, "1 minute", late(s, "service_health_silver")), ("traces_silver",), "stream",
+        **checks("service_health_silver", quality.HEALTH_EXPECTATIONS),
+    )
+    r.register(
+        "traces_assembled", lambda s: traces.assemble_traces(s, as_of=as_of, parts=parts), ("traces_silver",),
+        **checks("traces_assembled", quality.TRACE_EXPECTATIONS),
     )
-    r.register("traces_assembled", lambda s: traces.assemble_traces(s, as_of=as_of), ("traces_silver",))
     r.register("service_health_5min", lambda s: health.service_health_5min(s, as_of=as_of), ("traces_silver",))
     r.register(
         "service_health_hourly", lambda h: health.service_health_hourly(h, as_of=as_of), ("service_health_5min",)
@@ -100,6 +118,9 @@ def build(
     trigger: str = "availableNow",
     delays: dict[str, str | None] | None = None,
     checkpoints: str | None = None,
+    parts: int = 1,
+    actions: dict[str, str] | None = None,
+    max_files: int | None = None,
 ) -> list[str]:
     """Bring datasets up to date in order, each from the written form of what it reads.
 
@@ -108,14 +129,20 @@ def build(
     catalog that ``config`` names; stream checkpoints then need a folder of
     their own. With a processing-time ``trigger`` stream datasets run on, as
     queries of their names, and each has taken what there is before the next starts.
+
+    Every dataset's expectations are counted as its rows pass by, and appended to the dataset
+    ``expectation_results`` (``plans.checks``); a stream that runs on is counted by its own listener.
+    ``max_files`` bounds what a stream takes into one micro-batch.
     """
     if checkpoints is None:
         if config.root is None:
             raise ValueError("a build into catalog tables needs a folder for checkpoints")
         checkpoints = f"{config.root}/_checkpoints"
-    registry = datasets(as_of, delays)
+    registry = datasets(as_of, delays, parts, actions)
     wanted = list(registry.datasets) if names is None else list(names)
     schemas: dict[str, StructType] = {}
+    results: list[tuple] = []
+    watch = StreamWatch().watch(spark)
 
     def place(name: str) -> str:
         return config.raw(RAW[name]) if name in RAW else config.table(name)
@@ -123,18 +150,30 @@ def build(
     def schema_of(name: str) -> StructType | str:
         return ddl(RAW[name]) if name in RAW else schemas.get(name) or read_table(spark, place(name)).schema
 
-    for name in wanted:
-        entry, target = registry.datasets[name], place(name)
-        if entry.kind == "stream":
-            out = entry.make(*[read_stream(spark, place(r), schema_of(r)) for r in entry.reads])
-            query = run_stream(out, target, f"{checkpoints}/{name}", trigger, name=name)
-            schemas[name] = out.schema
-            if trigger == "availableNow":
-                query.awaitTermination()
+    try:
+        for name in wanted:
+            entry, target = registry.datasets[name], place(name)
+            checked = Checked(entry)
+            if entry.kind == "stream":
+                reads = [valid_rows(read_stream(spark, place(r), schema_of(r), max_files)) for r in entry.reads]
+                out = checked.watched(entry.make(*reads))
+                query = run_stream(out, target, f"{checkpoints}/{name}", trigger, name=name, partition_by=checked.partition_by)
+                schemas[name] = out.schema
+                if trigger == "availableNow":
+                    query.awaitTermination()
+                    results += results_of(entry, watch.counts(query).observed.get(name), str(query.runId))
+                else:
+                    query.processAllAvailable()
             else:
-                query.processAllAvailable()
-        else:
-            out = entry.make(*[read_table(spark, place(r), schema_of(r) if r in RAW or is_path(place(r)) else None) for r in entry.reads])
-            write_table(out, target)
-            schemas[name] = out.schema
+                reads = [
+                    valid_rows(read_table(spark, place(r), schema_of(r) if r in RAW or is_path(place(r)) else None)) for r in entry.reads
+                ]
+                out, taken = checked.observed(entry.make(*reads))
+                write_table(out, target, partition_by=checked.partition_by)
+                schemas[name] = out.schema
+                results += results_of(entry, taken(), uuid.uuid4().hex)
+    finally:
+        watch.stop(spark)
+    if results:
+        write_table(spark.createDataFrame(results, RESULTS).withColumn("checked_at", now(as_of)), config.table("expectation_results"), "append")
     return wanted

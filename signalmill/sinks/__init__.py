@@ -1,8 +1,9 @@
 """Batch writers, views and the keyed serving copy."""
+from .incremental import purge_days, refresh_days, touched_days
 from .serving import compact, read_latest, upsert_latest
 from .tables import append_if_any, purge_older_than, register_rollup_views, rewrite_clustered, write_table
 
 __all__ = [
-    "append_if_any", "compact", "purge_older_than", "read_latest", "register_rollup_views",
-    "rewrite_clustered", "upsert_latest", "write_table",
+    "append_if_any", "compact", "purge_days", "purge_older_than", "read_latest", "refresh_days", "register_rollup_views",
+    "rewrite_clustered", "touched_days", "upsert_latest", "write_table",
 ]

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ..functions.columns import now
 from ..operators.rollups import rerollup
+from ..session import written
 from ..sources.tables import is_path
 
 
@@ -23,11 +24,13 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite", partition_by:
 def append_if_any(df: DataFrame, name: str) -> bool:
     """Append the rows unless there are none; tells whether anything was written.
 
-    The plan runs twice at most, and the emptiness test stops at the first row.
+    The plan runs once: its rows are counted on their way to the shared folder, and taken from there.
     """
-    if df.isEmpty():
+    seen = Observation()
+    rows = written(df.observe(seen, F.count(F.lit(1)).alias("rows")), "append")
+    if not seen.get["rows"]:
         return False
-    write_table(df, name, "append")
+    write_table(rows, name, "append")
     return True
 
 

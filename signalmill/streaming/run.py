@@ -24,6 +24,7 @@ def run_stream(
     trigger: str = "availableNow",
     each_batch: Callable[[DataFrame, int], None] | None = None,
     name: str | None = None,
+    partition_by: list[str] | None = None,
 ) -> StreamingQuery:
     """Start an append stream into a table, a parquet folder or a batch function.
 
@@ -40,6 +41,8 @@ def run_stream(
         return writer.foreachBatch(each_batch).start()
     if target is None:
         raise ValueError("a stream needs a target or a batch function")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     if is_path(target):
         return writer.format("parquet").option("path", target).start()
     return writer.option("mergeSchema", "true").toTable(target)
