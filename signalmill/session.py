@@ -25,6 +25,8 @@ RUNTIME_SETTINGS = {
     # Percentiles and lists of up to this many groups a task are hashed; the default of
     # 128 sorts almost every rollup.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
+    # The default form of timestamps in files has no statistics: lookbacks would read every row group.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # The keys of a day of spans don't fit a heap: stream state lies in RocksDB, and checkpoints hold its changes.
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
