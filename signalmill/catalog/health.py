@@ -104,6 +104,18 @@ def _(spark, d):
     return hourly(spark, d)
 
 
+@query(
+    "service_health_daily",
+    """SELECT service_name, CAST(hour AS DATE) AS day, round(sum(error_rate * total_requests) / sum(total_requests), 6) AS error_rate,
+       round(max(p95_latency_ms), 6) AS p95_latency_ms, round(max(p99_latency_ms), 6) AS p99_latency_ms,
+       round(sum(avg_latency_ms * total_requests) / sum(total_requests), 6) AS avg_latency_ms,
+       CAST(sum(total_requests) AS BIGINT) AS total_requests, count(*) AS hours FROM hourly GROUP BY 1, 2""",
+    uses=("hourly",),
+)
+def _(spark, d):
+    return H.service_health_daily(hourly(spark, d), "90 DAYS", A.as_of())
+
+
 @query(
     "service_health_hourly_simple",
     """SELECT service_name, hour, round(avg_error_rate, 6) AS avg_error_rate, round(max_error_rate, 6) AS max_error_rate,

@@ -15,6 +15,8 @@ FLAT_SQL = """event_name, trace_id, span_id, log_timestamp, observed_timestamp,
        body, service_name"""
 
 
+# All columns: what survives is a whole record.
+WHOLE = [c.strip() for c in FLAT_SQL.split(",")] + ["service_version"]
 LOG_KEY_SQL = """md5(concat_ws('||', CAST(epoch_us(observed_timestamp) AS VARCHAR),
        coalesce(trace_id, ''), coalesce(span_id, ''), coalesce(body, ''))) AS log_key"""
 
@@ -33,24 +35,24 @@ def _(spark, d):
 
 @query(
     "dedup_logs",
-    "SELECT DISTINCT observed_timestamp, trace_id, span_id, body FROM logs",
+    f"SELECT DISTINCT {FLAT_SQL}, service_version FROM logs",
     uses=("logs",),
 )
 def _(spark, d):
     once = A.table(spark, d, "events")
     twice = once.unionByName(once.filter("event_type = 'view'"))
-    return dedup(L.flatten_logs(A.logs_of(twice)), L.DEDUP_KEYS).select(*L.DEDUP_KEYS)
+    return dedup(L.flatten_logs(A.logs_of(twice), with_version=True), L.DEDUP_KEYS).select(*WHOLE)
 
 
 @query(
     "dedup_logs_narrow",
-    "SELECT DISTINCT observed_timestamp, service_name, body FROM logs",
+    f"SELECT DISTINCT {FLAT_SQL}, service_version FROM logs",
     uses=("logs",),
 )
 def _(spark, d):
     once = A.table(spark, d, "events")
     twice = once.unionByName(once.filter("event_type = 'click'"))
-    return dedup(L.flatten_logs(A.logs_of(twice)), L.ENRICHED_DEDUP_KEYS).select(*L.ENRICHED_DEDUP_KEYS)
+    return dedup(L.flatten_logs(A.logs_of(twice), with_version=True), L.ENRICHED_DEDUP_KEYS).select(*WHOLE)
 
 
 ENRICHED_SQL = """SELECT l.trace_id, l.span_id, l.log_timestamp, l.severity_text, l.body, l.service_name,

@@ -88,14 +88,18 @@ def _(spark, d):
 @query(
     "dedup_metrics",
     f"""SELECT DISTINCT {SERIES}, metric_timestamp,
-       concat_ws('/', l_orderkey, l_partkey, l_linenumber) AS line, delay_s FROM metrics""",
+       concat_ws('/', l_orderkey, l_partkey, l_linenumber) AS line, delay_s, round(value, 6) AS value, histogram_count,
+       round(histogram_sum, 6) AS histogram_sum, array_to_string(histogram_buckets, ',') AS histogram_buckets, exp_histogram_count,
+       exp_histogram_zero_count, summary_count, round(summary_sum, 6) AS summary_sum FROM metrics""",
     uses=("metrics",),
 )
 def _(spark, d):
     a = F.col("attributes")
     return M.dedup_metrics(A.metrics(spark, d)).select(
         "name", "service_name", "metric_type", "metric_timestamp", a["line"].alias("line"),
-        a["delay_s"].cast("bigint").alias("delay_s"),
+        a["delay_s"].cast("bigint").alias("delay_s"), "value", "histogram_count", "histogram_sum",
+        F.array_join("histogram_buckets", ",").alias("histogram_buckets"), "exp_histogram_count", "exp_histogram_zero_count",
+        "summary_count", "summary_sum",
     )
 
 

@@ -302,3 +302,50 @@ def _(spark, d):
     finally:
         watch.stop(spark)
     return seen.agg(F.sum("input_rows").alias("input_rows"), F.sum("late_rows").alias("late_rows"), F.count_if(F.col("input_rows") > 0).alias("files"))
+
+
+# Eight files, a batch each; the sink folds with every third batch, so a read takes one fold and two batches.
+@query(
+    "stream_upsert_folded",
+    """SELECT user_id, event_id, ts, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r
+       FROM events) WHERE r = 1""",
+)
+def _(spark, d):
+    updates = A.table(spark, d, "events").select("user_id", "event_id", "ts", "event_type")
+    stream = read_stream(spark, in_files(spark, updates, "event_id", 8), updates.schema, max_files=1)
+    target, order = work_dir(spark, "folded-stream"), ["ts", "event_id"]
+    drain(spark, stream, "folded-run", upsert_latest(target, ["user_id"], order, fold_every=3))
+    return read_latest(spark, target, ["user_id"], order)
+
+
+# Half of the files, a stop, the other half with copies of the first: the second run goes on from the checkpoint, knows
+# the first run's keys, and repeats nothing.
+@query("stream_restart", f"SELECT {FLAT_SQL}, CAST(2 AS BIGINT) AS runs FROM spans", uses=("spans",))
+def _(spark, d):
+    events, folder, target = A.table(spark, d, "events"), work_dir(spark, "restart-in"), work_dir(spark, "restart")
+    half = events.count() // 2
+    runs = 0
+    for part in (events.filter(F.col("event_id") < half), events.filter(F.col("event_id") >= half - half // 4)):
+        in_files(spark, part, "event_id", 2, folder)
+        flat = flatten_spans(A.spans_of(read_stream(spark, folder, events.schema, max_files=1))).drop("attributes", "events", "links")
+        once = dedup(flat, ["trace_id", "span_id"], ("start_timestamp", "30 days"), within=True)
+        run_stream(once, target, f"{target}-checkpoint").awaitTermination()
+        runs += 1
+    return spark.read.schema(once.schema).parquet(target).withColumn("runs", F.lit(runs))
+
+
+# A stream that runs on takes files as they come, and is stopped when it has them all.
+@query("stream_continuous", f"SELECT {FLAT_SQL} FROM spans", uses=("spans",))
+def _(spark, d):
+    events, folder, target = A.table(spark, d, "events"), work_dir(spark, "continuous-in"), work_dir(spark, "continuous")
+    half = events.count() // 2
+    in_files(spark, events.filter(F.col("event_id") < half), "event_id", 1, folder)
+    flat = flatten_spans(A.spans_of(read_stream(spark, folder, events.schema))).drop("attributes", "events", "links")
+    run = run_stream(flat, target, f"{target}-checkpoint", trigger="200 milliseconds")
+    try:
+        run.processAllAvailable()
+        in_files(spark, events.filter(F.col("event_id") >= half), "event_id", 1, folder)
+        run.processAllAvailable()
+    finally:
+        run.stop()
+    return spark.read.schema(flat.schema).parquet(target)

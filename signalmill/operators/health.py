@@ -96,6 +96,17 @@ def service_health_hourly(
     ).withColumn("ingestion_timestamp", C.now(as_of))
 
 
+def service_health_daily(hourly: DataFrame, interval: str | None = "90 DAYS", as_of: Column | None = None) -> DataFrame:
+    """Days from hours: rates and means weighted by requests, the worst percentiles, and how many hours there were."""
+    recent = lookback(hourly, "hour", interval, as_of)
+    weighted = lambda c: F.try_divide(F.sum(F.col(c) * F.col("total_requests")), F.sum("total_requests"))
+    return recent.groupBy("service_name", F.to_date("hour").alias("day")).agg(
+        weighted("error_rate").alias("error_rate"), F.max("p95_latency_ms").alias("p95_latency_ms"),
+        F.max("p99_latency_ms").alias("p99_latency_ms"), weighted("avg_latency_ms").alias("avg_latency_ms"),
+        F.sum("total_requests").alias("total_requests"), F.count("*").alias("hours"),
+    )
+
+
 def service_health_hourly_simple(
     h1: DataFrame, interval: str | None = None, as_of: Column | None = None
 ) -> DataFrame:

@@ -26,7 +26,10 @@ RAW = {"otel_spans": "spans", "otel_logs": "logs", "otel_metrics": "metrics"}
 DELAYS: dict[str, str | None] = {
     "traces_silver": "10 minutes", "logs_silver": "10 minutes", "metrics_silver": "2 minutes",
     "metrics_1min_rollup": "30 seconds", "histogram_metrics_1min_totals": "30 seconds", "service_health_silver": "5 minutes",
+    "spans_wide_silver": "10 minutes", "trace_totals": "10 minutes",
 }
+# How many days each resolution of health is kept (``sinks.purge_days`` of tables by day).
+TIERS = {"service_health_5min": 7, "service_health_hourly": 30, "service_health_daily": 90}
 
 
 # What becomes of rows that break an expectation, where it is not a mere warning.
@@ -34,11 +37,13 @@ ACTIONS: dict[str, str] = {"traces_silver": "quarantine", "logs_silver": "quaran
 
 
 def datasets(
-    as_of: Column | None = None, delays: dict[str, str | None] | None = None, parts: int = 1, actions: dict[str, str] | None = None
-) -> Registry:
+    as_of: Column | None = None, delays: dict[str, str | None] | None = None, parts: int = 1, actions: dict[str, str] | None = None,
+    alert_minutes: int | None = 10,
+) -> Registry:
     """All datasets. ``delays`` replaces single entries of ``DELAYS``, ``actions`` those of ``ACTIONS``.
 
-    ``parts`` is the number of rows that a trace or a histogram window with its lists is split into.
+    ``parts`` is the number of rows that a trace or a histogram window with its lists is split into;
+    ``alert_minutes`` is how far back anomalies are looked for (None: everywhere).
 
     Rows that come later than that are dropped from a stream dataset; a batch
     build over the raw tables has them all.
@@ -49,9 +54,9 @@ def datasets(
     def checks(name: str, predicates: dict[str, str]) -> dict:
         return {"expectations": predicates, "action": act.get(name, "warn")}
 
-    def flat_spans(raw: DataFrame) -> DataFrame:
-        flat = spans.flatten_spans(raw)
-        keys, delay = ["trace_id", "span_id"], wait["traces_silver"]
+    def flat_spans(raw: DataFrame, name: str = "traces_silver", wide: bool = False) -> DataFrame:
+        flat = spans.flatten_spans(raw, wide)
+        keys, delay = ["trace_id", "span_id"], wait[name]
         if not flat.isStreaming:
             return dedup(flat, keys)
         return dedup(flat, keys, ("start_timestamp", delay), within=True) if delay else flat.dropDuplicates(keys)
@@ -107,6 +112,27 @@ def datasets(
     r.register(
         "metric_rollups_hourly", lambda m: rollups.metric_rollups_hourly(m, as_of=as_of), ("metrics_silver",)
     )
+    # Streams of bounded state beside the lists: totals per window, and the rows they are made of.
+    r.register("trace_totals", lambda s: traces.trace_totals(s, delay=late(s, "trace_totals")), ("traces_silver",), "stream")
+    r.register("trace_details", traces.trace_details, ("traces_silver",), "stream")
+    r.register("histogram_metrics_1min_points", rollups.distribution_points, ("metrics_silver",), "stream")
+    r.register(
+        "traces_assembled_windowed", lambda s: traces.assemble_traces_windowed(s, parts=parts, as_of=as_of), ("traces_silver",),
+        **checks("traces_assembled_windowed", quality.TRACE_EXPECTATIONS),
+    )
+    r.register(
+        "spans_wide_silver", lambda raw: flat_spans(raw, "spans_wide_silver", True), ("otel_spans",), "stream",
+        **checks("spans_wide_silver", quality.SPAN_EXPECTATIONS),
+    )
+    r.register("logs_enriched", lambda lo, s: logs.enrich_logs(lo, s, dedup_spans=False), ("logs_silver", "spans_wide_silver"))
+    r.register("service_health_daily", lambda h: health.service_health_daily(h, as_of=as_of), ("service_health_hourly",))
+    r.register(
+        "anomalies", lambda h, b: anomaly.detect_anomalies(h, b, alert_minutes, as_of, "p95_latency_ms"),
+        ("service_health_5min", "anomaly_baselines"),
+    )
+    r.register("trace_completeness", lambda s: quality.validate_trace_completeness(s, as_of), ("traces_silver",))
+    r.register("cross_signal_correlation", lambda s, lo: quality.validate_cross_signal(s, lo, as_of), ("traces_silver", "logs_silver"))
+    r.register("service_health_quality", lambda h: quality.validate_service_health(h, as_of=as_of), ("service_health_silver",))
     return r
 
 

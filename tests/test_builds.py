@@ -128,3 +128,52 @@ def test_a_purge_touches_old_days_only(spark, tmp_path):
     assert all(any(f"day=2024-01-0{d}" in f for d in (1, 2, 3)) for f in before ^ files(target))
     assert sorted(r["n"] for r in spark.read.parquet(target).collect()) == [4, 5, 6, 7]
     assert purge_days(spark, target, keep_from) == []
+
+
+# --- further datasets, and the folding serving copy
+
+
+def test_reports_and_wide_datasets_are_built(spark, tmp_path, raw):
+    root = str(tmp_path / "lake")
+    spans = [span(span_id=str(i), parent=None if i == 0 else "0", service="api" if i % 2 else "db", start=i * 30.0, code="ERROR" if i > 36 else "OK") for i in range(40)]
+    raw("spans", spans).coalesce(1).write.parquet(f"{root}/otel_spans")
+    raw("logs", [log(span_id=str(i), at=i) for i in range(3)]).coalesce(1).write.parquet(f"{root}/otel_logs")
+    names = [
+        "traces_silver", "logs_silver", "spans_wide_silver", "logs_enriched", "trace_totals", "trace_details", "traces_assembled_windowed",
+        "service_health_silver", "service_health_5min", "service_health_hourly", "service_health_daily", "anomaly_baselines", "anomalies",
+        "trace_completeness", "cross_signal_correlation", "service_health_quality",
+    ]
+    build(spark, SourceConfig(root=root), names, as_of(), parts=2)
+    table = {n: read_table(spark, f"{root}/{n}") for n in names}
+    assert {r["span_name"] for r in table["logs_enriched"].collect()} == {"op"} and table["logs_enriched"].count() == 3
+    assert table["trace_details"].count() == 40 and valid_rows(table["spans_wide_silver"]).count() == 40
+    assert table["traces_assembled_windowed"].agg(F.sum(F.size("span_details"))).first()[0] == 40
+    day = table["service_health_daily"].collect()
+    assert sorted((r["service_name"], r["total_requests"], r["hours"]) for r in day) == [("api", 20, 1), ("db", 20, 1)]
+    assert table["trace_completeness"].first()["status"] == "PASS" and table["cross_signal_correlation"].first()["traces_with_logs"] == 1
+    assert table["service_health_quality"].count() == 1 and "anomaly_type" in table["anomalies"].columns
+
+
+def test_the_sink_folds_what_came_before(spark, tmp_path):
+    from signalmill.sinks import read_latest, upsert_latest
+    from signalmill.sinks.serving import _current, _last_fold, serve
+
+    target, want = str(tmp_path / "t"), {}
+    write = upsert_latest(target, ["k"], ["at"], fold_every=3)
+    for b in range(8):
+        rows = [(k, 10 * b + k % 2, f"{b}-{k}") for k in range(b % 3, 9)]
+        if b == 5:
+            rows.append((3, 0, "older"))
+        for k, at, v in rows:
+            if k not in want or at >= want[k][0]:
+                want[k] = (at, v)
+        batch = spark.createDataFrame(rows, "k bigint, at bigint, v string")
+        write(batch, b)
+        if b in (2, 4):  # a batch that is run again
+            write(batch, b)
+        assert {r["k"]: (r["at"], r["v"]) for r in read_latest(spark, target, ["k"], ["at"]).collect()} == want, b
+    assert _last_fold(spark, target) == 5
+    assert sorted(r[0] for r in _current(spark, target).select("_batch_id").distinct().collect()) == [-1, 6, 7]
+    once = serve("service_dependencies", str(tmp_path / "d"), ["at"])
+    once(spark.createDataFrame([("a", "b", 1), ("a", "b", 2)], "source_service string, target_service string, at int"), 0)
+    assert read_latest(spark, str(tmp_path / "d"), ["source_service", "target_service"], ["at"]).first()["at"] == 2
