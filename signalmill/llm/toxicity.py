@@ -13,8 +13,9 @@ over the length, is the text's measure, and a logistic curve turns it into a sco
 
 Counting covers all labelled rows and grows with them: tasks sum their word pairs before the
 shuffle, so a frequent pair weighs one record a task. What goes to all tasks doesn't grow: words
-are hashed to 2 ** WORD_BITS, and a pair is kept beyond its discount only if it holds more than one
-in 2 ** KEPT_BITS of its class. The curve alone is fitted on a bounded sample: about CURVE_ROWS of
+are hashed to 2 ** WORD_BITS, and what pairs keep beyond their discounts is added up in 2 ** CELL_BITS
+cells for each class. The discounts are the same at every size: a pair's mass depends on its own counts and
+its first word's, not on how much other text there is. The curve alone is fitted on a bounded sample: about CURVE_ROWS of
 the labelled rows, chosen by a hash of the text. (They are counted too; the discounts leave too
 little of a text's own expressions to bend the curve.)
 
@@ -39,7 +40,7 @@ from .words import as_bytes, chunks, mix, word_codes
 
 WORD_BITS = 18
 CELL_BITS = 21
-KEPT_BITS = 19
+UNIT = 2.0**40  # of kept probabilities, which are added up as whole numbers: sums don't depend on their order
 WORD_DISCOUNT = 2
 PAIR_DISCOUNT = 32
 BEYOND = 1.0
@@ -174,10 +175,14 @@ def _count(labelled: DataFrame, least: np.ndarray) -> pd.DataFrame:
         add("follows", kind << WORD_BITS | pair & _LOW, np.ones(len(key), np.int64))
         add("tokens", kind << WORD_BITS | pair >> WORD_BITS, times)
         # Both classes together lose a pair's count up to both discounts.
-        both, total = sum_by(pair, times)
-        add("lost", both >> WORD_BITS, np.minimum(total, int(least.sum())))
+        both, either = sum_by(pair, times)
+        add("lost", both >> WORD_BITS, np.minimum(either, int(least.sum())))
+        # A bucket holds all pairs of its first words, so their totals are known here.
         more = times > least[kind]
-        add("kept", key[more], times[more])
+        _, which = np.unique(kind << WORD_BITS | pair >> WORD_BITS, return_inverse=True)
+        total = np.bincount(which, weights=times)[which]
+        share = np.rint((times - least[kind])[more] / total[more] * UNIT).astype(np.int64)
+        add("kept", kind[more] << CELL_BITS | pair_cell(pair[more]), share)
         return pd.concat(out)[["name", "bucket", "cell"]]
 
     def total(frame: pd.DataFrame) -> pd.DataFrame:
@@ -194,7 +199,7 @@ def _count(labelled: DataFrame, least: np.ndarray) -> pd.DataFrame:
     )
 
 
-def _model(rows: pd.DataFrame, least: np.ndarray) -> Model:
+def _model(rows: pd.DataFrame) -> Model:
     def sparse(name: str) -> tuple[np.ndarray, np.ndarray]:
         return tuple(unpack_all(rows["cell"][rows["name"] == name], np.int64, np.int64))
 
@@ -205,10 +210,7 @@ def _model(rows: pd.DataFrame, least: np.ndarray) -> Model:
         return out
 
     follows, tokens = (dense(n, 2 << WORD_BITS).reshape(2, -1) for n in ("follows", "tokens"))
-    key, times = sparse("kept")
-    kind, pair = key >> 2 * WORD_BITS, key & ((1 << 2 * WORD_BITS) - 1)
-    kept = np.zeros((2, 1 << CELL_BITS))
-    np.add.at(kept, (kind, pair_cell(pair)), (times - least[kind]) / np.maximum(tokens[kind, pair >> WORD_BITS], 1))
+    kept = dense("kept", 2 << CELL_BITS).reshape(2, -1) / UNIT
     return build(follows, tokens, dense("lost", 1 << WORD_BITS), kept)
 
 
@@ -229,8 +231,8 @@ def train(docs: DataFrame, labels: DataFrame, curve_rows: int = CURVE_ROWS) -> M
         return flat
 
     size = np.array([max(1, sizes["size"][sizes["toxic"] == k].sum()) for k in (0, 1)], np.float64)
-    least = np.ceil(np.maximum(PAIR_DISCOUNT * size / size.min(), size / 6 / 2**KEPT_BITS)).astype(np.int64)
-    model = _model(_count(labelled, least), least)
+    least = np.ceil(PAIR_DISCOUNT * size / size.min()).astype(np.int64)
+    model = _model(_count(labelled, least))
     share = min(1.0, curve_rows / sizes["n"].sum())
     sample = labelled.filter(F.pmod(F.xxhash64(F.lit("row"), "text"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
     sent = spark.sparkContext.broadcast(model)

@@ -134,3 +134,24 @@ def test_language_keeps_dotted_columns(spark):
     docs = spark.createDataFrame([(1, "ein kleiner text", "de", 5), (2, "a small text", "en", 6)], "doc_id bigint, text string, lang string, `a.b` int")
     got = langid.identify(docs, docs, ("doc_id", "a.b"))
     assert got.columns[:2] == ["doc_id", "a.b"] and sorted(r["a.b"] for r in got.collect()) == [5, 6]
+
+
+def test_a_pair_keeps_its_mass_when_other_text_is_added(spark, monkeypatch):
+    """The same share of both classes more: a pair's own counts decide, not how much text there is."""
+    from signalmill.llm.toxicity import pair_cell, pairs_of
+
+    rare = [(i, "you zoxfool " * 3 + "go away", "en", "a") for i in range(30)]
+    plain = [(100 + i, "the river runs past the old mill " * 3, "en", "a") for i in range(30)]
+    more = [(1000 + i, f"word{i % 97} other{i % 89} thing{i % 83} " * 6, "en", "a") for i in range(600)]
+    first, second, _ = pairs_of([b"you zoxfool"])
+    cell = pair_cell(first << toxicity.WORD_BITS | second)[1]
+    kept = []
+    for rows in (rare + plain, rare + plain + more):
+        labels = [(r[0], int(r[0] < 100 or (r[0] >= 1000 and r[0] % 2))) for r in rows]
+        model = toxicity.train(frame(spark, rows), spark.createDataFrame(labels, "doc_id bigint, toxic int"))
+        kept.append(float(model.kept[1][cell]))
+    # 90 of the 90 pairs after "you", less the discount; the classes' sizes move that by their ratio only.
+    assert kept[0] > 0.3 and abs(kept[1] - kept[0]) < 0.35 * kept[0]
+    monkeypatch.setattr(toxicity, "PAIR_DISCOUNT", 0)
+    model = toxicity.train(frame(spark, rare + plain), spark.createDataFrame([(r[0], int(r[0] < 100)) for r in rare + plain], "doc_id bigint, toxic int"))
+    assert abs(float(model.kept[1][cell]) - 1.0) < 1e-6
