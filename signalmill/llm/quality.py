@@ -7,13 +7,14 @@ DIMENSIONS latent ones. The labelled vectors go to all tasks: EACH_LABEL rows of
 they are bounded. Every text is compared with all of them by exact cosine, in blocks, and the
 NEIGHBOURS nearest vote with the square of their similarity.
 
-The fit, frequencies included, takes a sample of labelled rows: about EACH_LABEL of each label, by a
-hash of doc_id and text, all of a label that has fewer. Both labels being sampled to the same number,
-a vote of a label counts as if they were equally frequent.
+Document frequencies are counted over all texts: a task adds up its own, a sum per feature is shuffled. The
+matrix is fitted on a sample of labelled rows: about EACH_LABEL of each label, by a hash of doc_id and
+text, all of a label that has fewer. Both labels being sampled to the same number, a vote of a label counts
+as if they were equally frequent.
 
 Defined cases: a null text is empty; a text without features, or like no labelled one, has the
 sample's share of label 1; rows without a label aren't learned from; with no labelled rows all
-scores are 0.5; repeated rows are scored alike; extra columns stay unread.
+scores are 0.5; repeated rows are scored alike, and the sample takes one of them; extra columns stay unread.
 """
 
 from __future__ import annotations
@@ -102,10 +103,28 @@ def unit(x: np.ndarray) -> np.ndarray:
     return np.where(size > 1e-6, x / np.maximum(size, 1e-6), 0).astype(np.float32)
 
 
-def fit(found: np.ndarray, labels: np.ndarray) -> Model:
-    """The model of labelled rows' counts."""
+def document_frequencies(texts: DataFrame) -> tuple[int, np.ndarray]:
+    """The number of texts, and in how many each feature stands."""
+
+    def count(batches: Iterator[pd.DataFrame]):
+        held, n = np.zeros(FEATURES, np.int64), 0
+        for batch in batches:
+            some = [as_bytes(t) for t in batch["text"]]
+            n += len(some)
+            for a, b in _blocks(some):
+                held += (counts(some[a:b]) > 0).sum(axis=0)
+        at = np.flatnonzero(held)
+        yield pd.DataFrame({"feature": np.append(at, FEATURES), "n": np.append(held[at], n)})
+
+    sums = texts.select("text").mapInPandas(count, "feature bigint, n bigint").groupBy("feature").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(FEATURES + 1, np.int64)
+    out[sums["feature"].to_numpy(np.int64)] = sums["n"].to_numpy(np.int64)
+    return int(out[FEATURES]), out[:FEATURES]
+
+
+def fit(found: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> Model:
+    """The model of labelled rows' counts, with the features' weights."""
     n = len(found)
-    weight = (np.log((1 + n) / (1 + (found > 0).sum(axis=0))) + 1).astype(np.float32)
     x = np.log1p(found.astype(np.float32)) * weight
     x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
     # Leading singular vectors by repeated products with a thin random matrix.
@@ -122,11 +141,13 @@ def train(docs: DataFrame, labels: DataFrame, each_label: int = EACH_LABEL) -> M
     ready(docs.sparkSession)
     marked = labels.select("doc_id", F.col("quality").cast("int").alias("label")).filter("label IN (0, 1) AND doc_id IS NOT NULL")
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    sizes = {r[0]: r[1] for r in marked.groupBy("label").count().collect()}
-    # A hash of the id thins each label to about the wanted number, a little less to stay within it.
-    place = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1_000_000))
-    share = F.when(F.col("label") == 1, F.lit(each_label / max(sizes.get(1, 1), 1))).otherwise(F.lit(each_label / max(sizes.get(0, 1), 1)))
-    sample = join_small(texts, marked.filter(place < share * 1_000_000), "doc_id").select("doc_id", "text", "label")
+    sizes = {r[0]: r[1] for r in join_small(texts.select("doc_id"), marked, "doc_id").groupBy("label").count().collect()}
+    # A hash of id and text thins each label to about the wanted number, before texts meet their labels.
+    place = F.pmod(F.xxhash64(F.lit("sample"), "doc_id", "text"), F.lit(1_000_000))
+    shares = {k: each_label / max(sizes.get(k, 1), 1) for k in (0, 1)}
+    share = F.when(F.col("label") == 1, F.lit(shares[1])).otherwise(F.lit(shares[0])) * 1_000_000
+    near = texts.filter(place < max(shares.values()) * 1_000_000)
+    sample = join_small(near, marked, "doc_id").filter(place < share).select("doc_id", "text", "label").dropDuplicates()
 
     def count(batches: Iterator[pd.DataFrame]):
         for batch in batches:
@@ -146,7 +167,9 @@ def train(docs: DataFrame, labels: DataFrame, each_label: int = EACH_LABEL) -> M
     for i, cell in enumerate(rows["cell"]):
         at, times = unpack(cell, np.uint16, np.uint32)
         found[i, at] = times
-    return fit(found, rows["label"].to_numpy(np.int64))
+    n, held = document_frequencies(texts)
+    weight = (np.log((1 + n) / (1 + held)) + 1).astype(np.float32)
+    return fit(found, rows["label"].to_numpy(np.int64), weight)
 
 
 def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), name: str = "score") -> DataFrame:

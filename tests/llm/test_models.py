@@ -155,3 +155,16 @@ def test_a_pair_keeps_its_mass_when_other_text_is_added(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "PAIR_DISCOUNT", 0)
     model = toxicity.train(frame(spark, rare + plain), spark.createDataFrame([(r[0], int(r[0] < 100)) for r in rare + plain], "doc_id bigint, toxic int"))
     assert abs(float(model.kept[1][cell]) - 1.0) < 1e-6
+
+
+def test_quality_counts_all_documents_and_bounds_its_sample(spark):
+    rows = [(i, f"alpha beta g{i}", "en", "a") for i in range(40)] + [(7, "alpha", "en", "a")] * 300 + [(None, None, "en", "a")]
+    docs = frame(spark, rows)
+    n, held = quality.document_frequencies(docs)
+    by_hand = sum((quality.counts([(t or "").encode()])[0] > 0).astype(int) for _, t, *_ in rows)
+    assert n == len(rows) and (held == by_hand).all()
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id bigint, quality int")
+    model = quality.train(docs, labels)
+    assert len(model.labels) == 41  # a repeated row is learned from once
+    assert np.allclose(model.weight, np.log((1 + n) / (1 + held)) + 1)
+    assert len(quality.train(docs, labels, each_label=5).labels) < 25
