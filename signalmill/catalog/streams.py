@@ -193,6 +193,21 @@ def _(spark, d):
     return drained(spark, enriched, "enrich-both-stream")
 
 
+# A gap below the distance of all records from their spans: the stream finds no context, the written tables have them all.
+@query(
+    "enrich_logs_filled",
+    STREAM_ENRICHED
+    + """ WHERE l.log_timestamp < (SELECT min(t) FROM (SELECT max(start_timestamp) AS t FROM spans UNION ALL SELECT max(log_timestamp) FROM logs))
+       - INTERVAL 10 MINUTE""",
+    uses=("logs", "spans"),
+)
+def _(spark, d):
+    logs = L.flatten_logs(A.logs_of(stream(spark, d, "events")), with_version=True)
+    spans = span_stream(spark, d, wide=True)
+    enriched = drained(spark, L.enrich_logs_streaming(logs, spans, max_gap="1 millisecond").select(*ENRICHED), "enrich-near")
+    return L.fill_contexts(enriched, drained(spark, spans, "wide-spans")).select(*ENRICHED)
+
+
 @query(
     "stream_upsert_latest",
     """SELECT user_id, event_id, ts, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r

@@ -86,6 +86,8 @@ def enrich_logs_streaming(
 
     A span is looked for within ``max_gap`` around the log time; that bound,
     with the watermarks, is what lets Spark drop state and emit unmatched rows.
+    Records in spans that began earlier come out without context; ``fill_contexts``
+    gives it to them from the written tables.
     """
     context = wide_spans.select(
         F.col("trace_id").alias("_span_trace_id"),
@@ -105,6 +107,23 @@ def enrich_logs_streaming(
     return keyed.join(context, near, "left").drop("_trace_id", "_span_id", "_span_trace_id", "_span_span_id")
 
 
+# What a log record takes over from its span.
+CONTEXT = ["span_name", "kind", "http_url", "http_method", "http_status_code"]
+
+
+def fill_contexts(enriched: DataFrame, wide_spans: DataFrame) -> DataFrame:
+    """Written rows of ``enrich_logs_streaming``, with the contexts that lay beyond its gap.
+
+    Only rows that name a span and have no context are joined, with all written spans (each once), so
+    whatever the gap was, the result is that of ``enrich_logs``.
+    """
+    lost = F.col("span_name").isNull() & F.col("trace_id").isNotNull() & F.col("span_id").isNotNull()
+    key = F.struct("trace_id", "span_id").alias("_span")
+    context = span_context(wide_spans).select(key, *CONTEXT)
+    again = enriched.filter(lost).drop(*CONTEXT).withColumn("_span", key).join(context, "_span", "left").drop("_span")
+    return enriched.filter(~lost).unionByName(again.select(*enriched.columns))
+
+
 def trace_id_profile(logs: DataFrame) -> DataFrame:
     """How many records carry a trace id, overall."""
     return logs.agg(

@@ -177,3 +177,23 @@ def test_the_sink_folds_what_came_before(spark, tmp_path):
     once = serve("service_dependencies", str(tmp_path / "d"), ["at"])
     once(spark.createDataFrame([("a", "b", 1), ("a", "b", 2)], "source_service string, target_service string, at int"), 0)
     assert read_latest(spark, str(tmp_path / "d"), ["source_service", "target_service"], ["at"]).first()["at"] == 2
+
+
+def test_build_into_catalog_tables(spark, tmp_path, raw):
+    for name in ("telemetry_raw_t", "telemetry_t"):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{tmp_path}/{name}'")
+    try:
+        spans = raw("spans", [span(span_id=str(i), start=i * 30.0) for i in range(12)])
+        spans.coalesce(1).write.saveAsTable("spark_catalog.telemetry_raw_t.otel_spans")
+        config = SourceConfig(schema="telemetry_t", raw_schema="telemetry_raw_t")
+        names = ["traces_silver", "service_health_5min", "traces_assembled"]
+        for expected in (12, 20):
+            build(spark, config, names, as_of(), checkpoints=str(tmp_path / "checks"), parts=2)
+            assert valid_rows(spark.table("telemetry_t.traces_silver")).count() == expected
+            assert spark.table("telemetry_t.service_health_5min").agg(F.sum("total_requests")).first()[0] == expected
+            assert spark.table("telemetry_t.traces_assembled").agg(F.sum(F.size("span_details"))).first()[0] == expected
+            raw("spans", [span(span_id=f"n{i}", start=400 + i) for i in range(8)]).coalesce(1).write.mode("append").saveAsTable("spark_catalog.telemetry_raw_t.otel_spans")
+        assert spark.table("telemetry_t.expectation_results").filter("failed = 0").count() == 8
+    finally:
+        for name in ("telemetry_raw_t", "telemetry_t"):
+            spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
