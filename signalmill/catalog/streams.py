@@ -193,6 +193,17 @@ def _(spark, d):
     return drained(spark, enriched, "enrich-both-stream")
 
 
+# Five files, a batch each, of which each reads the written spans of its own time.
+@query("stream_enrich_near", STREAM_ENRICHED, uses=("logs", "spans"))
+def _(spark, d):
+    spans, target = work_dir(spark, "near-spans"), work_dir(spark, "near-logs")
+    A.wide_spans(spark, d).drop("attributes", "events", "links").write.parquet(spans)
+    events = A.table(spark, d, "events")
+    logs = L.flatten_logs(A.logs_of(read_stream(spark, in_files(spark, events, "event_id", 5), events.schema, max_files=1)), with_version=True)
+    drain(spark, logs, "near-run", L.enrich_batches(target, spark.read.parquet(spans), "1 minute", "1 minute"))
+    return spark.read.parquet(target).select(*ENRICHED)
+
+
 # A gap below the distance of all records from their spans: the stream finds no context, the written tables have them all.
 @query(
     "enrich_logs_filled",

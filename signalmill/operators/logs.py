@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import columns as C
@@ -124,6 +126,33 @@ def fill_contexts(enriched: DataFrame, wide_spans: DataFrame) -> DataFrame:
     return enriched.filter(~lost).unionByName(again.select(*enriched.columns))
 
 
+def near_spans(spans: DataFrame, logs: DataFrame, before: str = "1 hour", after: str = "10 minutes") -> DataFrame:
+    """Spans that start from ``before`` the first log record on until ``after`` the last: bounds on the bare start, which reach the scan."""
+    first, last = logs.agg(F.min("log_timestamp"), F.max("log_timestamp")).first()
+    if first is None:
+        return spans.limit(0)
+    since, until = F.lit(first) - F.expr(f"INTERVAL {before}"), F.lit(last) + F.expr(f"INTERVAL {after}")
+    return spans.filter((F.col("start_timestamp") >= since) & (F.col("start_timestamp") <= until))
+
+
+def enrich_batches(target: str, wide_spans: DataFrame, before: str = "1 hour", after: str = "10 minutes") -> Callable[[DataFrame, int], None]:
+    """For ``run_stream``: enriches each micro-batch from a span table without repeats, of which it reads the batch's time alone.
+
+    A batch that is run again replaces its folder (``batch=n``). Records in spans that lie outside come out
+    without context, for ``fill_contexts``.
+    """
+
+    def one(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()
+        try:
+            near = near_spans(wide_spans, batch, before, after)
+            enrich_logs(batch, near, dedup_spans=False).write.mode("overwrite").parquet(f"{target}/batch={number}")
+        finally:
+            batch.unpersist()
+
+    return one
+
+
 def trace_id_profile(logs: DataFrame) -> DataFrame:
     """How many records carry a trace id, overall."""
     return logs.agg(

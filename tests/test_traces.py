@@ -191,3 +191,26 @@ def test_window_gaps(spark):
     h = _health(spark, [(0, "s", 0.0, 1.0), (1, "s", 0.0, 1.0), (4, "s", 0.0, 1.0), (0, "t", 0.0, 1.0)])
     got = H.window_gaps(h).collect()
     assert [(r.service_name, r.gap_minutes) for r in got] == [("s", 15)]
+
+
+def test_near_spans_bound_the_scan(spark, tmp_path, raw):
+    from signalmill.operators.logs import enrich_batches, fill_contexts, flatten_logs, near_spans
+    from signalmill.operators.spans import flatten_spans
+
+    path = str(tmp_path / "spans")
+    flatten_spans(raw("spans", [span(span_id=str(i), start=i * 600.0) for i in range(100)]), wide=True).write.parquet(path)
+    spans = spark.read.parquet(path)
+    logs = flatten_logs(raw("logs", [log(span_id=str(i), at=i * 600.0 + 30) for i in (50, 52)] + [log(span_id="10", at=52 * 600.0)]))
+    near = near_spans(spans, logs, "10 minutes", "10 minutes")
+    assert {r["span_id"] for r in near.collect()} == {"50", "51", "52", "53"}
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = near_spans(spans, logs, "10 minutes", "10 minutes")._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(start_timestamp," in plan and "LessThanOrEqual(start_timestamp," in plan
+    assert near_spans(spans, logs.limit(0)).count() == 0
+    once = enrich_batches(str(tmp_path / "out"), spans, "10 minutes", "10 minutes")
+    once(logs, 0)
+    once(logs, 0)
+    got = spark.read.parquet(str(tmp_path / "out")).drop("batch")
+    assert sorted((r["span_id"], r["span_name"]) for r in got.collect()) == [("10", None), ("50", "op"), ("52", "op")]
+    assert {r["span_name"] for r in fill_contexts(got, spans).collect()} == {"op"}
