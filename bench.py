@@ -25,6 +25,7 @@ HEADLINE = [
     "anomaly_baselines", "detect_anomalies", "validate_trace_completeness", "validate_cross_signal",
     "ingest_lag", "window_gaps", "rollup_gaps", "route_summary", "multi_resolution",
     "stream_service_health", "stream_dedup", "stream_metrics_rollup", "trace_spans", "trace_lookup", "body_matches",
+    "trace_waterfall", "root_causes", "tail_sample", "seasonal_baselines", "change_scores", "health_resolutions", "log_templates",
 ]
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import columns as C
 from .dedup import dedup
 
+# Keys and columns of the log tables.
 DEDUP_KEYS = ["observed_timestamp", "trace_id", "span_id", "body"]
 # The narrower key of tables that are enriched before they are deduplicated.
 ENRICHED_DEDUP_KEYS = ["observed_timestamp", "service_name", "body"]

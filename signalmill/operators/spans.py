@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import columns as C
 
+# Columns of the flat and the wide span table.
 FLAT = [
     "trace_id", "span_id", "parent_span_id", "name", "kind", "service_name", "start_timestamp",
     "end_timestamp", "duration_ms", "is_error", "status_message", "attributes", "events", "links",
