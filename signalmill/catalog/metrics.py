@@ -94,10 +94,10 @@ def _(spark, d):
     uses=("metrics",),
 )
 def _(spark, d):
-    a = F.col("attributes")
-    return M.dedup_metrics(A.metrics(spark, d)).select(
-        "name", "service_name", "metric_type", "metric_timestamp", a["line"].alias("line"),
-        a["delay_s"].cast("bigint").alias("delay_s"), "value", "histogram_count", "histogram_sum",
+    flat, a = A.metrics(spark, d), F.col("attributes")
+    points = flat.withColumns({"line": a["line"], "delay_s": a["delay_s"].cast("bigint")})
+    return M.dedup_metrics(points, order_by=M.point_order(flat)).select(
+        "name", "service_name", "metric_type", "metric_timestamp", "line", "delay_s", "value", "histogram_count", "histogram_sum",
         F.array_join("histogram_buckets", ",").alias("histogram_buckets"), "exp_histogram_count", "exp_histogram_zero_count",
         "summary_count", "summary_sum",
     )

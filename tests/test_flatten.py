@@ -1,16 +1,20 @@
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
+import io
+import re
 
 from helpers import SEC, T0, exp_histogram, gauge, histogram, log, resource, span
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from signalmill.catalog import QUERIES
 from signalmill.functions import columns as C
 from signalmill.functions import predicates as P
 from signalmill.operators import logs as L
 from signalmill.operators import metrics as M
-from signalmill.operators.dedup import dedup
+from signalmill.operators.dedup import attribute_text, dedup
 from signalmill.operators.spans import FLAT, WIDE, flatten_spans
 
 
@@ -106,6 +110,25 @@ def test_metric_series_differ_by_attributes(raw):
     assert M.dedup_metrics(flat, by_attributes=False).count() == 1
 
 
+def test_different_attributes_are_different_texts(spark):
+    maps = [None, {}, {"a": None}, {"a": ""}, {"a": "-"}, {"a": "1", "b": "2"}, {"a": "1:b1:2"}, {"a": "11:b", "2": None}, {"é": "1"}, {"a1:": "1"}]
+    df = spark.createDataFrame([(m,) for m in [*maps, {"b": "2", "a": "1"}]], "m map<string,string>")
+    texts = [r[0] for r in df.select(attribute_text(F.col("m"))).collect()]
+    assert len(set(texts)) == len(maps) and texts[5] == texts[-1] and texts[0] is None and texts[1] == ""
+
+
+def test_points_are_shuffled_without_their_maps(spark, tmp_path):
+    line = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string"
+    rows = [(1, i % 3, 1, 1, 4.0, 2.0, 0.1, 0.02, "A", "F") for i in range(6)]
+    spark.createDataFrame(rows, line).write.parquet(f"{tmp_path}/lineitem.parquet")
+    out = QUERIES["dedup_metrics"](spark, str(tmp_path))
+    assert out.count() == 3
+    with contextlib.redirect_stdout(io.StringIO()) as plan:
+        out.explain("formatted")
+    shuffled = [p.splitlines()[1] for p in plan.getvalue().split("\n\n") if re.match(r"\(\d+\) Exchange", p.strip())]
+    assert shuffled and not any(re.search(r"[\[ ]attributes#", p) for p in shuffled)
+
+
 def test_sanitize_health(spark):
     rows = [
         (None, 0, 0, -1.0), ("a", None, None, 1.0), ("a", 2, 3, 1.0), ("a", 4, 1, None), ("a", -5, 0, 2.0),
