@@ -27,12 +27,16 @@ def _(spark, d):
     return read_table(spark, f"{d}/events.parquet")
 
 
+CSV_ROWS = 1_000_000  # rows of a file: compressed text can't be split, so larger inputs are more files
+
+
 def _as_csv(raw: DataFrame, path: str) -> None:
+    """An export: compressed, as JSON repeats its names in every row."""
     nested = [f.name for f in raw.schema.fields if f.dataType.typeName() in ("struct", "array", "map")]
     text = raw.select(
         *[(F.to_json(f.name) if f.name in nested else F.col(f.name).cast("string")).alias(f.name) for f in raw.schema.fields]
     )
-    text.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    text.write.mode("overwrite").options(header=True, escape='"', compression="lz4", maxRecordsPerFile=CSV_ROWS).csv(path)
 
 
 @query(

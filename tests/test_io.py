@@ -7,6 +7,7 @@ import pytest
 from helpers import gauge, histogram, log, span
 from pyspark.sql import functions as F
 
+from signalmill.catalog import sources
 from signalmill.operators.dedup import dedup
 from signalmill.operators.health import service_health, service_health_5min
 from signalmill.operators.logs import enrich_logs_streaming, flatten_logs
@@ -28,6 +29,16 @@ def run(df, target, **options):
     return query
 
 
+def test_csv_exports_are_compressed_files_of_bounded_rows(spark, tmp_path, raw, monkeypatch):
+    monkeypatch.setattr(sources, "CSV_ROWS", 50)
+    rows = raw("metrics", [gauge(float(i), attributes={"a": f"x,\"{i}"}) for i in range(200)]).coalesce(1)
+    sources._as_csv(rows, str(tmp_path / "csv"))
+    files = [f for f in (tmp_path / "csv").iterdir() if f.name.startswith("part-")]
+    assert len(files) == 4 and sum(f.stat().st_size for f in files) < 200 * 40
+    back = load_signal_csv(spark, str(tmp_path / "csv"), "metrics")
+    assert sorted((r["gauge"]["value"], r["gauge"]["attributes"]["a"]) for r in back.collect()) == [(float(i), f'x,"{i}') for i in range(200)]
+
+
 def test_csv_bad_json_and_narrow_structs(spark, tmp_path):
     rows = [
         ["trace_id", "span_id", "attributes", "resource", "start_time_unix_nano", "end_time_unix_nano", "status"],
