@@ -19,11 +19,12 @@ NAMES = ["traces_silver", "logs_silver", "service_health_5min", "service_depende
 
 
 def lake(spark, d, names=NAMES):
-    """A folder of datasets, built from spans and logs in four files each, a batch each."""
-    root = work_dir(spark, "lake")
-    for signal, raw, at in (("spans", A.raw_spans, "start_time_unix_nano"), ("logs", A.raw_logs, "time_unix_nano")):
-        in_files(spark, raw(spark, d), at, 4, f"{root}/otel_{signal}")
-    build(spark, SourceConfig(root=root), names, A.as_of(), parts=4, max_files=1)
+    """A folder of datasets, built from spans and logs in four batches each."""
+    root, events = work_dir(spark, "lake"), A.table(spark, d, "events")
+    at, each = F.unix_micros(F.col("ts").cast("timestamp")), 1
+    for signal, make in (("spans", A.spans_of), ("logs", A.logs_of)):
+        _, each = in_files(spark, events, at, 4, f"{root}/otel_{signal}", make)  # as many for both: the rows are the same
+    build(spark, SourceConfig(root=root), names, A.as_of(), parts=4, max_files=each)
     return root
 
 

@@ -6,11 +6,10 @@ from pyspark.sql import functions as F
 
 from ..operators import change as N
 from ..session import work_dir
-from ..sources import read_stream
 from .anomalies import base5
 from .book import cte, query
 from .health import h5
-from .streams import drain, in_files
+from .streams import drain, in_batches
 
 RULES = N.ChangeRules(alpha=0.2, slack=0.25, alarm=4.0, chunk="3 days")
 
@@ -54,7 +53,7 @@ def _(spark, d):
 @query("stream_change_scores", SCORED, uses=("ordered",))
 def _(spark, d):
     rows = based(spark, d).withColumn("micros", F.unix_micros("timestamp")).cache()
-    stream = read_stream(spark, in_files(spark, rows, "micros", 5), rows.schema, max_files=1)
+    stream = in_batches(spark, rows, "micros", 5)
     rows.unpersist()
     target, states = work_dir(spark, "scores"), work_dir(spark, "score-states")
     each = N.score_batches(target, states, ["service_name"], "p95_latency_ms", F.col("baseline_p95_latency_ms"), F.col("latency_stddev"), RULES)

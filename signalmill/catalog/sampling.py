@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import sampling as S
-from ..sources import read_stream
 from . import adapters as A
 from .book import cte, query
-from .streams import drained, in_files
+from .streams import drained, in_batches
 
 RULES = S.KeepRules(rate=0.2, slow_ms=600.0, rates={"svc-click": 0.5})
 
@@ -88,6 +87,6 @@ def _(spark, d):
 )
 def _(spark, d):
     events = A.table(spark, d, "events")
-    stream = read_stream(spark, in_files(spark, events, "event_id"), events.schema, max_files=1)
+    stream = in_batches(spark, events, "event_id")
     out = S.tail_sample_stream(A.nested_of(stream), RULES, "60 milliseconds", "1 minute")
     return drained(spark, out.select(*SAMPLED.split(", ")), "tail-stream")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import columns as C
 from ..operators import logs as L
@@ -35,14 +35,40 @@ def stream(spark: SparkSession, d: str, name: str) -> DataFrame:
     return read_stream(tune(spark), d, schema, max_files=100, files=f"{name}.parquet")
 
 
-def in_files(spark: SparkSession, df: DataFrame, order: str, files: int = 6, folder: str | None = None) -> str:
-    """A folder with the rows of ``df`` in files of ascending ``order``, so that a stream takes them batch by batch."""
+FILE_ROWS = 100_000  # a batch of more rows is several files, written and read side by side
+
+
+def in_files(
+    spark: SparkSession, df: DataFrame, order: str | Column, files: int = 6, folder: str | None = None,
+    make: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> tuple[str, int]:
+    """A folder with the rows of ``df`` in batches of ascending ``order``, and the number of files of each, for ``max_files``.
+
+    A stream takes files by their age, so batches are written one after the other and have equally many files;
+    one with too few rows for that gets empty ones. ``make`` is applied to the rows as they are written, after they
+    were dealt to the files.
+    """
     folder = folder or work_dir(spark, "in-files")
-    low, high = df.agg(F.min(order), F.max(order)).first()
-    step = (high - low) // files + 1
+    at = F.col(order) if isinstance(order, str) else order
+    low, high, rows = df.agg(F.min(at), F.max(at), F.count(at)).first()
+    step, each, schema = (high - low) // files + 1, max(1, rows // files // FILE_ROWS), make(df).schema
+    count = lambda: len(spark.read.schema(schema).parquet(folder).inputFiles())
+    there = None
     for i in range(files):
-        df.filter((F.col(order) >= low + i * step) & (F.col(order) < low + (i + 1) * step)).coalesce(1).write.mode("append").parquet(folder)
-    return folder
+        part = df.filter((at >= low + i * step) & (at < low + (i + 1) * step))
+        make(part.coalesce(1) if each == 1 else part.repartition(each)).write.mode("append").parquet(folder)
+        if each > 1:
+            there, wanted = count(), each if there is None else there + each
+            for _ in range(there, wanted):
+                spark.createDataFrame([], schema).coalesce(1).write.mode("append").parquet(folder)
+            there = wanted
+    return folder, each
+
+
+def in_batches(spark: SparkSession, df: DataFrame, order: str, files: int = 6) -> DataFrame:
+    """The rows of ``df`` as a stream of so many batches of ascending ``order``."""
+    folder, each = in_files(spark, df, order, files)
+    return read_stream(spark, folder, df.schema, max_files=each)
 
 
 def drain(spark: SparkSession, df: DataFrame, name: str, each_batch: Callable | None = None) -> str:
@@ -199,7 +225,7 @@ def _(spark, d):
     spans, target = work_dir(spark, "near-spans"), work_dir(spark, "near-logs")
     A.wide_spans(spark, d).drop("attributes", "events", "links").write.parquet(spans)
     events = A.table(spark, d, "events")
-    logs = L.flatten_logs(A.logs_of(read_stream(spark, in_files(spark, events, "event_id", 5), events.schema, max_files=1)), with_version=True)
+    logs = L.flatten_logs(A.logs_of(in_batches(spark, events, "event_id", 5)), with_version=True)
     drain(spark, logs, "near-run", L.enrich_batches(target, spark.read.parquet(spans), "1 minute", "1 minute"))
     return spark.read.parquet(target).select(*ENRICHED)
 
@@ -252,7 +278,7 @@ def delivered(spark: SparkSession, d: str) -> DataFrame:
     late_by = events.count() // 3
     placed = events.withColumn("place", F.col("event_id") + F.when(F.col("value") > 90, F.lit(late_by)).otherwise(F.lit(0)))
     placed = placed.withColumn("ts", F.col("ts").cast("timestamp"))
-    return read_stream(spark, in_files(spark, placed, "place", FILES), placed.schema, max_files=1)
+    return in_batches(spark, placed, "place", FILES)
 
 
 def split(spark: SparkSession, d: str) -> tuple[str, str, str, DataFrame]:
@@ -338,7 +364,7 @@ def _(spark, d):
 )
 def _(spark, d):
     updates = A.table(spark, d, "events").select("user_id", "event_id", "ts", "event_type")
-    stream = read_stream(spark, in_files(spark, updates, "event_id", 8), updates.schema, max_files=1)
+    stream = in_batches(spark, updates, "event_id", 8)
     target, order = work_dir(spark, "folded-stream"), ["ts", "event_id"]
     drain(spark, stream, "folded-run", upsert_latest(target, ["user_id"], order, fold_every=3))
     return read_latest(spark, target, ["user_id"], order)
@@ -352,8 +378,8 @@ def _(spark, d):
     half = events.count() // 2
     runs = 0
     for part in (events.filter(F.col("event_id") < half), events.filter(F.col("event_id") >= half - half // 4)):
-        in_files(spark, part, "event_id", 2, folder)
-        flat = flatten_spans(A.spans_of(read_stream(spark, folder, events.schema, max_files=1))).drop("attributes", "events", "links")
+        _, each = in_files(spark, part, "event_id", 2, folder)
+        flat = flatten_spans(A.spans_of(read_stream(spark, folder, events.schema, max_files=each))).drop("attributes", "events", "links")
         once = dedup(flat, ["trace_id", "span_id"], ("start_timestamp", "30 days"), within=True)
         run_stream(once, target, f"{target}-checkpoint").awaitTermination()
         runs += 1

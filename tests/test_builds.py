@@ -9,6 +9,7 @@ import pytest
 from helpers import log, span
 from pyspark.sql import functions as F
 
+from signalmill.catalog import builds, streams
 from signalmill.plans import build
 from signalmill.plans.checks import quarantined, valid_rows
 from signalmill.plans.registry import Registry
@@ -72,6 +73,39 @@ def test_parts_of_hot_traces_are_the_callers(spark, tmp_path, raw):
     assert rows.agg(F.sum(F.size("span_details"))).first()[0] == 200
 
 
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
+def events_in(spark, folder, ids):
+    at = datetime(2024, 1, 1)
+    rows = [(i, at + timedelta(seconds=i), i % 7, "view", float(i % 90), "{}") for i in ids]
+    spark.createDataFrame(rows, EVENTS).write.parquet(f"{folder}/events.parquet")
+    return str(folder)
+
+
+def test_batches_of_a_stream_are_several_files_of_their_own_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(streams, "FILE_ROWS", 10)
+    ids = [*range(60), 119]  # the last batch has fewer rows than files
+    rows = spark.createDataFrame([(i,) for i in ids], "id bigint").repartition(3)
+    folder, each = streams.in_files(spark, rows, "id", 3, str(tmp_path / "in"), lambda df: df.withColumn("twice", F.col("id") * 2))
+    assert each == 2 and len(spark.read.parquet(folder).inputFiles()) == 6
+    seen = []
+    stream = streams.read_stream(spark, folder, "id bigint, twice bigint", max_files=each)
+    streams.drain(spark, stream, "seen", lambda batch, _: seen.append(sorted((r["id"], r["twice"]) for r in batch.collect())))
+    assert seen == [[(i, 2 * i) for i in part] for part in (range(40), range(40, 60), [119])]
+
+
+def test_a_lake_of_large_batches_is_the_same(spark, tmp_path, monkeypatch):
+    d = events_in(spark, tmp_path, range(400))
+    names = ["traces_silver", "service_dependencies"]
+    edges = lambda root: {tuple(r) for r in read_table(spark, f"{root}/service_dependencies").select("source_service", "target_service", "call_count").collect()}
+    wanted = edges(builds.lake(spark, d, names))
+    monkeypatch.setattr(streams, "FILE_ROWS", 20)
+    root = builds.lake(spark, d, names)
+    assert wanted and edges(root) == wanted
+    assert len(read_table(spark, f"{root}/otel_spans").inputFiles()) == 20
+
+
 # --- refreshes
 
 DAY = datetime(2024, 1, 1, tzinfo=timezone.utc)
