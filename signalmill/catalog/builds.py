@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import health as H
-from ..plans import build
+from ..plans import build, datasets
 from ..plans.checks import quarantined, valid_rows
 from ..session import work_dir
 from ..sinks import purge_days, refresh_days
@@ -19,11 +19,12 @@ NAMES = ["traces_silver", "logs_silver", "service_health_5min", "service_depende
 
 
 def lake(spark, d, names=NAMES):
-    """A folder of datasets, built from spans and logs in four batches each."""
-    root, events = work_dir(spark, "lake"), A.table(spark, d, "events")
+    """A folder of datasets, built from those of spans and logs that they read, in four batches each."""
+    root, events, read = work_dir(spark, "lake"), A.table(spark, d, "events"), datasets().datasets
     at, each = F.unix_micros(F.col("ts").cast("timestamp")), 1
     for signal, make in (("spans", A.spans_of), ("logs", A.logs_of)):
-        _, each = in_files(spark, events, at, 4, f"{root}/otel_{signal}", make)  # as many for both: the rows are the same
+        if any(f"otel_{signal}" in read[name].reads for name in names):
+            _, each = in_files(spark, events, at, 4, f"{root}/otel_{signal}", make)  # as many for both: the rows are the same
     build(spark, SourceConfig(root=root), names, A.as_of(), parts=4, max_files=each)
     return root
 

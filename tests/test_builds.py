@@ -95,7 +95,7 @@ def test_batches_of_a_stream_are_several_files_of_their_own_rows(spark, tmp_path
     assert seen == [[(i, 2 * i) for i in part] for part in (range(40), range(40, 60), [119])]
 
 
-def test_a_lake_of_large_batches_is_the_same(spark, tmp_path, monkeypatch):
+def test_a_lake_of_large_batches_is_the_same_and_has_what_it_reads(spark, tmp_path, monkeypatch):
     d = events_in(spark, tmp_path, range(400))
     names = ["traces_silver", "service_dependencies"]
     edges = lambda root: {tuple(r) for r in read_table(spark, f"{root}/service_dependencies").select("source_service", "target_service", "call_count").collect()}
@@ -104,6 +104,8 @@ def test_a_lake_of_large_batches_is_the_same(spark, tmp_path, monkeypatch):
     root = builds.lake(spark, d, names)
     assert wanted and edges(root) == wanted
     assert len(read_table(spark, f"{root}/otel_spans").inputFiles()) == 20
+    assert not os.path.exists(f"{root}/otel_logs")
+    assert not os.path.exists(f"{builds.lake(spark, d, ['logs_silver'])}/otel_spans")
 
 
 # --- refreshes
