@@ -88,7 +88,8 @@ def tail_sample_stream(spans: DataFrame, rules: KeepRules, gap: str = "1 minute"
 
     A trace is a session: spans of one id, each no more than ``gap`` after the one before. It is decided when
     the watermark passes its end by the gap; its spans, joined by id and time, then come out whole or not at
-    all. State holds the spans of open sessions. Spans of an id that come back after the gap are decided
+    all. The join can't tell from a session's end how early it began, so its state keeps every span: it grows
+    with the stream. Spans of an id that come back after the gap are decided
     anew, as ``tail_sample_sessions`` does for a batch.
     """
     timed = spans.withWatermark("start_timestamp", delay)

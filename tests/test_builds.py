@@ -9,7 +9,7 @@ import pytest
 from helpers import log, span
 from pyspark.sql import functions as F
 
-from signalmill.catalog import builds, streams
+from signalmill.catalog import QUERIES, builds, streams
 from signalmill.plans import build
 from signalmill.plans.checks import quarantined, valid_rows
 from signalmill.plans.registry import Registry
@@ -108,6 +108,16 @@ def test_a_lake_of_large_batches_is_the_same_and_has_what_it_reads(spark, tmp_pa
     assert not os.path.exists(f"{builds.lake(spark, d, ['logs_silver'])}/otel_spans")
 
 
+def test_a_sampled_stream_of_large_batches_is_the_same(spark, tmp_path, monkeypatch):
+    d = events_in(spark, tmp_path, range(600))
+    run = lambda: sorted(QUERIES["stream_tail_sample"](spark, d).select("span_id", "reason", "weight").collect())
+    wanted, dealt = run(), []
+    monkeypatch.setattr(streams, "FILE_ROWS", 20)
+    read = streams.read_stream
+    monkeypatch.setattr(streams, "read_stream", lambda *a, **k: dealt.append(k["max_files"]) or read(*a, **k))
+    assert run() == wanted and dealt == [5]
+
+
 # --- refreshes
 
 DAY = datetime(2024, 1, 1, tzinfo=timezone.utc)
